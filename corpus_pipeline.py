@@ -1,8 +1,60 @@
-"""The corpus pipeline: quality rules, near-duplicates, decontamination, mixing, token output."""
+"""The corpus pipeline: quality rules, near-duplicates, decontamination, mixing, token output.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes every stage's result as
+Parquet to the shared folder and reads it back as the next one's ``docs``, so a lost executor never
+costs more than the stage at work.  All stages but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from corpusloom.llm import decontam, dedup, mixing, quality, store
+from corpusloom.llm.common import Scratch, read
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality policy keeps."""
+    return quality.filter_documents(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group of near-duplicates."""
+    return dedup.deduplicate(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item is found."""
+    return decontam.decontaminate(docs, read(spark, sf_dir, "benchmark"))
+
+
+def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixture: each document as often as its source's target asks for."""
+    return mixing.mix(docs)
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids written to a content-addressed store; per document its digest, read back from the files."""
+    return store.encode_and_digest(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("near-duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixing_to_weights),
+    ("token output", token_output),
+]
+
+#: MinHash candidates, approximate matching and BPE are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "pipeline")
+    docs = read(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = scratch.write(stage(spark, docs, sf_dir), f"{k}-{name.replace(' ', '-')}")
+        if k:
+            scratch.drop(f"{k - 1}-{STAGES[k - 1][0].replace(' ', '-')}")
+    return docs

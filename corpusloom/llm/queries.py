@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import mixing, quality, store, tokens
+from corpusloom.llm import decontam, dedup, htmltext, lattice, mixing, quality, secretscan, store, tokens, toxicity
 from corpusloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,11 +16,23 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(read(spark, sf_dir, "documents"))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = quality.quality(read(spark, sf_dir, "documents"))
     return q.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.secrets(read(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read(spark, sf_dir, "documents"))
 
@@ -29,11 +41,29 @@ def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.encode_and_digest(read(spark, sf_dir, "documents"))
 
 
+def op8_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score(read(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.main_text(read(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
+    "op2_near_duplicates": op2_near_duplicates,
+    "op3_decontamination": op3_decontamination,
     "op4_quality_rules": op4_quality_rules,
+    "op5_secrets": op5_secrets,
     "op6_mixing": op6_mixing,
     "op7_token_store": op7_token_store,
+    "op8_lattice_scores": op8_lattice_scores,
+    "op9_toxicity": op9_toxicity,
+    "op10_main_text": op10_main_text,
 }
 
 OP4_SQL = r"""
