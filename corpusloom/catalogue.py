@@ -1,6 +1,492 @@
-"""The registered queries of the reference's operators, with their SQL."""
+"""The registered queries of the reference's operators, each with its SQL where SQL can express it."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from corpusloom.functions import messages as msg
+from corpusloom.functions import text as t
+from corpusloom.operators import cleaning, neardup, packing, scoring, splitting, stats, tokenizing
+from corpusloom.operators.cleaning import QualityConfig
+from corpusloom.operators.neardup import MinHashConfig
+from corpusloom.session import table
+from corpusloom.sources.tables import nested
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+#: Classes and expressions that several SQL texts share.
+_WS = r"\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+
+def query(sql: str | None = None) -> Callable:
+    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql.replace("@CLEAN", _CLEAN_SQL).replace("@WORDS", _WORDS_SQL).replace("@SHINGLES", _SHINGLES_SQL).replace("@CONV", _CONV_SQL).replace("@IDS", _IDS_SQL).replace("@CHUNKS", _CHUNKS_SQL).replace("@TOKENS", _TOKENS_SQL).replace("@WS", _WS)
+        return f
+
+    return add
+
+
+CLEANING = QualityConfig(max_punctuation=0.10, allowed_langs=("en", "fr-FR"))
+
+_CLEAN_SQL = r"""n AS (SELECT doc_id, lang, coalesce(text, '') AS raw,
+    regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g'), '[@WS]+(\n|$)', '\1', 'g'), '^[@WS]+|[@WS]+$', '', 'g') AS t0 FROM documents),
+c AS (SELECT doc_id, lang, raw, CASE WHEN length(t0) >= 20 THEN substr(t0, 1, 200000) END AS t FROM n),
+q AS (SELECT doc_id, lang, t, CASE WHEN regexp_replace(raw, '[@WS]', '', 'g') = '' THEN 'empty' WHEN t IS NULL THEN 'length'
+    WHEN length(regexp_replace(t, '[^\x{0}-\x{8}\x{B}\x{C}\x{E}-\x{1F}]', '', 'g')) / length(t)::DOUBLE > 0.05 THEN 'non_printable'
+    WHEN length(regexp_replace(t, '[\p{L}\p{N}@WS]', '', 'g')) / length(t)::DOUBLE > 0.10 THEN 'punctuation'
+    WHEN coalesce(lower(lang), '') NOT IN ('en', 'fr') THEN 'language' END AS reject FROM c)"""
+_WORDS_SQL = r"""w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[@WS]+'), lambda x: x <> '') AS w FROM documents)"""
+_SHINGLES_SQL = r"""lw AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[@WS]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM lw)"""
+_CONV_SQL = r"""m AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations)"""
+_IDS_SQL = r"""w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[@WS]+'), lambda x: x <> '') AS w FROM documents),
+ids AS (SELECT doc_id, doc_id % 4 AS shard, list_transform(w, lambda x: ('0x' || substr(md5(x), 1, 7))::INT % 32768 + 1) AS ids FROM w WHERE len(w) > 0)"""
+_TOKENS_SQL = r"""@IDS,
+o AS (SELECT doc_id, shard, ids, coalesce(sum(len(ids) + 1) OVER (PARTITION BY shard ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS base FROM ids),
+tok AS (SELECT shard, base + i - 1 AS o, ids[i] AS token FROM (SELECT shard, base, ids, unnest(range(1, len(ids) + 1)) AS i FROM o)
+    UNION ALL SELECT shard, base - 1, 0 FROM o WHERE base > 0)"""
+_CHUNKS_SQL = r"""@TOKENS,
+packed AS (SELECT shard, o // 256 AS chunk, o % 256 AS idx, token FROM tok)"""
+_TOKENS_SQL = _TOKENS_SQL.replace("@IDS", _IDS_SQL)
+_CHUNKS_SQL = _CHUNKS_SQL.replace("@TOKENS", _TOKENS_SQL)
+
+
+def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents")
+
+
+def convs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nested(table(spark, sf_dir, "conversations"))
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events")
+
+
+def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.quality_chain(docs(spark, sf_dir), CLEANING, languages=cleaning.as_candidate())
+
+
+def _long(df: DataFrame, *cols: str) -> DataFrame:
+    return df.select(*[F.col(c).cast("long").alias(c) for c in cols])
+
+
+# cleaning and exact duplicates --------------------------------------------------
+
+
+@query(r"""WITH @CLEAN, f AS (SELECT doc_id, lang, length(t)::BIGINT AS n_chars, sha1(t) AS fingerprint FROM q WHERE reject IS NULL)
+SELECT doc_id, lang, n_chars, fingerprint FROM f QUALIFY row_number() OVER (PARTITION BY fingerprint ORDER BY doc_id) = 1""")
+def clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = _clean(spark, sf_dir).where("reject is null").select("doc_id", "lang", F.length("clean").cast("long").alias("n_chars"), t.fingerprint(F.col("clean")).alias("fingerprint"))
+    return cleaning.keep_first(kept, "fingerprint", "doc_id")
+
+
+@query("WITH @CLEAN SELECT reject, count(*) AS n FROM q WHERE reject IS NOT NULL GROUP BY reject")
+def reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.reject_counts(_clean(spark, sf_dir))
+
+
+@query(r"""WITH @CLEAN, a AS (SELECT count(*) AS n0, count(t) FILTER (reject IS NULL) AS n1, count(DISTINCT t) FILTER (reject IS NULL) AS n2 FROM q),
+l AS (SELECT unnest([0, 1, 2])::BIGINT AS step, unnest(['input_lines', 'after_basic_clean', 'after_exact_dedup']) AS label, unnest([n0, n1, n2])::BIGINT AS n, unnest([n0, n0, n1]) AS b, unnest([n0, n0, n0]) AS al FROM a)
+SELECT step, label, n, greatest(0, b - n)::BIGINT AS dropped, CASE WHEN al > 0 THEN n / al::DOUBLE ELSE 0.0 END AS retention FROM l""")
+def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.funnel(cleaning.stage_counts(_clean(spark, sf_dir)))
+
+
+@query(r"""WITH x AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+SELECT doc_id, length(regexp_replace(t, '[\p{L}\p{N}@WS]', '', 'g'))::BIGINT AS n_punctuation,
+    length(regexp_replace(t, '[^\x{0}-\x{8}\x{B}\x{C}\x{E}-\x{1F}]', '', 'g'))::BIGINT AS n_control,
+    CASE WHEN t = '' THEN 0.0 ELSE length(regexp_replace(t, '[\p{L}\p{N}@WS]', '', 'g'))::DOUBLE / length(t) END AS punctuation_ratio FROM x""")
+def symbol_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = docs(spark, sf_dir).select("doc_id", t.as_text(F.col("text")).alias("t"))
+    c = F.col("t")
+    return x.select("doc_id", t.punctuation_count(c).cast("long").alias("n_punctuation"), F.regexp_count(c, F.lit(t.CONTROL)).cast("long").alias("n_control"), t.punctuation_ratio(c).alias("punctuation_ratio"))
+
+
+@query("""SELECT doc_id, CASE WHEN length(text) >= 100 THEN sha1(substr(text, 1, 1000)) END AS cut, CASE WHEN length(text) BETWEEN 100 AND 1000 THEN sha1(text) END AS whole FROM documents""")
+def length_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.col("text")
+    return docs(spark, sf_dir).select("doc_id", F.sha1(t.length_bounds(c, 100, 1000)).alias("cut"), F.sha1(t.length_bounds(c, 100, 1000, truncate=False)).alias("whole"))
+
+
+@query(r"""WITH p AS (SELECT doc_id, unnest(string_split(replace(coalesce(text, ''), chr(10), chr(10) || chr(10)), chr(10) || chr(10))) AS p, generate_subscripts(string_split(replace(coalesce(text, ''), chr(10), chr(10) || chr(10)), chr(10) || chr(10)), 1) AS i FROM documents),
+s AS (SELECT doc_id, i, regexp_replace(p, '^[@WS]+|[@WS]+$', '', 'g') AS p FROM p),
+k AS (SELECT doc_id, i, p, regexp_replace(p, '[@WS]+', ' ', 'g') AS k, lag(regexp_replace(p, '[@WS]+', ' ', 'g')) OVER (PARTITION BY doc_id ORDER BY i) AS b FROM s WHERE p <> '')
+SELECT d.doc_id, sha1(coalesce(string_agg(p, chr(10) || chr(10) ORDER BY i), '')) AS digest, count(p) AS n FROM documents d LEFT JOIN (SELECT * FROM k WHERE b IS NULL OR b <> k) k USING (doc_id) GROUP BY d.doc_id""")
+def paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = docs(spark, sf_dir).select("doc_id", t.dedupe_paragraphs(F.replace(t.as_text(F.col("text")), F.lit("\n"), F.lit("\n\n"))).alias("p"))
+    return x.select("doc_id", F.sha1("p").alias("digest"), F.when(F.col("p") == "", 0).otherwise(F.size(F.split("p", "\n\n"))).cast("long").alias("n"))
+
+
+@query("""SELECT doc_id, coalesce(lower(lang), '') IN ('en', 'de') OR starts_with(lower(lang), 'zh') AS passes FROM documents WHERE lang IS NOT NULL""")
+def lang_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg = QualityConfig(allowed_langs=("en-US", "DE", "zh_cn"))
+    return docs(spark, sf_dir).where("lang is not null").select("doc_id", cleaning.language_passes(cleaning.as_candidate(), cfg).alias("passes"))
+
+
+@query("SELECT doc_id, sha1(text) AS fingerprint FROM documents WHERE text IS NOT NULL QUALIFY row_number() OVER (PARTITION BY sha1(text) ORDER BY doc_id) = 1")
+def exact_dedup_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = docs(spark, sf_dir).where("text is not null").select("doc_id", t.fingerprint(F.col("text")).alias("fingerprint"))
+    return cleaning.keep_first(prints, "fingerprint", "doc_id")
+
+
+@query(r"""WITH c AS (SELECT conv_id, string_agg(coalesce(role, '') || chr(31) || coalesce(text, ''), chr(30) ORDER BY turn) AS k FROM conversations GROUP BY conv_id)
+SELECT conv_id FROM c QUALIFY row_number() OVER (PARTITION BY k ORDER BY conv_id) = 1""")
+def exact_dedup_convs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keyed = convs(spark, sf_dir).select("conv_id", msg.conversation_key(F.col("conversations")).alias("k"))
+    return cleaning.keep_first(keyed, "k", "conv_id").select("conv_id")
+
+
+@query("""WITH v AS (SELECT doc_id, lang, source, text FROM documents WHERE lang = 'en' UNION ALL SELECT doc_id, lang, source, text FROM documents WHERE lang = 'de')
+SELECT CASE lang WHEN 'en' THEN 'english' ELSE 'german' END AS domain, count(*) AS n, count(DISTINCT source) AS sources, sum(length(text))::BIGINT AS chars FROM v GROUP BY 1""")
+def domain_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = docs(spark, sf_dir)
+    both = d.where("lang = 'en'").withColumn("domain", F.lit("english")).unionByName(d.where("lang = 'de'").withColumn("domain", F.lit("german")))
+    return both.groupBy("domain").agg(F.count("*").alias("n"), F.countDistinct("source").alias("sources"), F.sum(F.length("text")).alias("chars"))
+
+
+# text functions ----------------------------------------------------------------------
+
+_MARKS = {"the ": "THE ", "THE en": "<en>", "": "never"}
+
+
+@query("""SELECT doc_id, sha1(replace(replace(text, 'the ', 'THE '), 'THE en', '<en>')) AS digest, sha1(replace(text, chr(10), '\\n')) AS flat FROM documents""")
+def marker_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.col("text")
+    return docs(spark, sf_dir).select("doc_id", F.sha1(t.replace_markers(c, _MARKS)).alias("digest"), F.sha1(t.flatten_newlines(c)).alias("flat"))
+
+
+_CODE_ROWS = ["def f():\n    return 1", "import a\nimport b\n", "plain words only", "a;b;c", "\tx\ty\tz\t\t\t", "    a\n    b\nc", "", "one (two) three four five six seven eight nine ten eleven twelve thirteen fourteen"]
+
+
+@query(r"""WITH r AS (SELECT 'd' || doc_id AS id, coalesce(text, '') AS t FROM documents UNION ALL
+SELECT 'x' || (i - 1), ['def f():' || chr(10) || '    return 1', 'import a' || chr(10) || 'import b' || chr(10), 'plain words only', 'a;b;c', chr(9) || 'x' || chr(9) || 'y' || chr(9) || 'z' || chr(9) || chr(9) || chr(9), '    a' || chr(10) || '    b' || chr(10) || 'c', '', 'one (two) three four five six seven eight nine ten eleven twelve thirteen fourteen'][i] FROM range(1, 9) s(i)),
+l AS (SELECT id, t, (string_split(regexp_replace(t, '\n$', ''), chr(10)))[1:80] AS l FROM r)
+SELECT id, t <> '' AND (length(regexp_replace(t, '[^{}\[\]();<>`]', '', 'g'))::DOUBLE / length(t) > 0.015
+    OR len(list_filter(l, lambda x: starts_with(x, '    ') OR starts_with(x, chr(9)))) > 0.25 * len(l)
+    OR len(list_filter(l[1:40], lambda x: regexp_matches(x, '^[@WS]*(def |class |import |from |function |const |let |var |#include)'))) >= 2
+    OR (length(t) - length(replace(t, chr(9), '')) > 5 AND contains(substr(t, 1, 200), chr(9)))) AS structured FROM l""")
+def structured_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = docs(spark, sf_dir).select(F.concat(F.lit("d"), "doc_id").alias("id"), t.as_text(F.col("text")).alias("t"))
+    x = spark.createDataFrame([(f"x{i}", s) for i, s in enumerate(_CODE_ROWS)], "id string, t string")
+    return d.unionByName(x).select("id", t.looks_structured(F.col("t")).alias("structured"))
+
+
+@query(r"""WITH r AS (SELECT 'd' || doc_id AS id, lower(coalesce(text, '')) AS t FROM documents UNION ALL SELECT * FROM (VALUES ('x0', 'i cannot answer that.'), ('x1', 'as an ai model'), ('x2', 'sure, here it is'), ('x3', '   '), ('x4', '抱歉，我无法做到')) v(id, t))
+SELECT id, regexp_matches(t, 'as an ai|抱歉，我无法|i am unable to|由于系统限制|i''m unable to|作为人工智能|i can''t answer|我不能回答|i cannot answer|我无法回答') AS refused FROM r""")
+def refusal_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = docs(spark, sf_dir).select(F.concat(F.lit("d"), "doc_id").alias("id"), "text")
+    x = spark.createDataFrame([("x0", "I cannot answer that."), ("x1", "As an AI model"), ("x2", "Sure, here it is"), ("x3", "   "), ("x4", "抱歉，我无法做到")], "id string, text string")
+    return d.unionByName(x).select("id", t.looks_like_refusal(F.col("text")).alias("refused"))
+
+
+@query("WITH @SHINGLES SELECT doc_id, len(s)::BIGINT AS n, len(list_distinct(s))::BIGINT AS n_distinct FROM s")
+def shingle_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = docs(spark, sf_dir).select("doc_id", t.words(F.lower(t.as_text(F.col("text")))).alias("w"))
+    s = w.select("doc_id", t.shingles(F.col("w")).alias("s"))
+    return s.select("doc_id", F.size("s").cast("long").alias("n"), F.size(F.array_distinct("s")).cast("long").alias("n_distinct"))
+
+
+# near duplicates -------------------------------------------------------------------------
+
+NEAR = MinHashConfig(threshold=0.6, num_perm=32)
+_PERM_SQL = "(VALUES " + ", ".join(f"({i}, {a}::BIGINT, {b}::BIGINT)" for i, (a, b) in enumerate(NEAR.permutations())) + ") p(k, a, b)"
+_SIGN_SQL = rf"""@SHINGLES, h AS (SELECT DISTINCT doc_id, ('0x' || substr(md5(g), 1, 7))::BIGINT AS h FROM (SELECT doc_id, unnest(s) AS g FROM s)),
+sig AS (SELECT doc_id, k, min((a * h + b) % 2147483647)::BIGINT AS v FROM h CROSS JOIN {_PERM_SQL} GROUP BY doc_id, k)"""
+
+
+@query(f"WITH {_SIGN_SQL} SELECT doc_id, k::BIGINT AS k, v FROM sig")
+def minhash_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = neardup.signatures(docs(spark, sf_dir), NEAR).where("signature is not null")
+    return s.select("doc_id", F.posexplode("signature").alias("k", "v")).select("doc_id", F.col("k").cast("long").alias("k"), "v")
+
+
+_B, _R = NEAR.banding()
+
+
+@query(f"WITH {_SIGN_SQL} SELECT doc_id, (k // {_R})::BIGINT AS band, md5(string_agg(v::VARCHAR, ',' ORDER BY k)) AS bucket FROM sig WHERE k < {_B * _R} GROUP BY doc_id, k // {_R}")
+def lsh_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = neardup.buckets(neardup.signatures(docs(spark, sf_dir), NEAR), NEAR)
+    return b.select("doc_id", F.col("band").cast("long").alias("band"), "bucket")
+
+
+@query(r"""WITH @SHINGLES, g AS (SELECT DISTINCT doc_id, g FROM (SELECT doc_id, unnest(s) AS g FROM s)), z AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+i AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM g x JOIN g y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL)
+SELECT a, b, c::DOUBLE / (p.n + q.n - c) AS jaccard FROM i JOIN z p ON p.doc_id = a JOIN z q ON q.doc_id = b WHERE c::DOUBLE / (p.n + q.n - c) >= 0.6""")
+def near_dup_pairs_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.pairs_above(docs(spark, sf_dir), 0.6)
+
+
+@query()
+def near_dedup_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_dedup(docs(spark, sf_dir), MinHashConfig(threshold=0.6), "text", "doc_id").select("doc_id")
+
+
+# statistics and scores ---------------------------------------------------------------------
+
+_HIST_SQL = r"""WITH v AS (SELECT {v}::DOUBLE AS v FROM {t} WHERE {v} IS NOT NULL), e AS (SELECT min(v) AS mn, max(v) AS mx FROM v),
+c AS (SELECT CASE WHEN mx = mn THEN 0 ELSE least(floor((v - mn) / ((mx - mn) / {n}))::BIGINT, {n} - 1) END AS bin, count(*) AS n FROM v CROSS JOIN e GROUP BY 1)
+SELECT b.bin::BIGINT AS bin, mn + b.bin * ((mx - mn) / {n}) AS lo, mn + (b.bin + 1) * ((mx - mn) / {n}) AS hi, coalesce(c.n, 0)::BIGINT AS n
+FROM range(0, {n}) b(bin) CROSS JOIN e LEFT JOIN c USING (bin) WHERE mn IS NOT NULL"""
+
+
+@query(_HIST_SQL.format(v="length(text)", t="documents", n=30))
+def length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.equal_width_histogram(docs(spark, sf_dir).select(F.length("text").alias("v")), "v", 30)
+
+
+@query(_HIST_SQL.format(v="value", t="events", n=30))
+def score_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.equal_width_histogram(events(spark, sf_dir), "value", 30)
+
+
+@query("SELECT quantile_cont(value, 0.01) AS lo, quantile_cont(value, 0.95) AS hi FROM events WHERE isfinite(value)")
+def score_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.percentile_bounds(events(spark, sf_dir), "value", 1, 95)
+
+
+@query("""WITH b AS (SELECT quantile_cont(value, 0.01) AS lo, quantile_cont(value, 0.95) AS hi FROM events WHERE isfinite(value))
+SELECT event_id, coalesce(CASE WHEN NOT isfinite(value) THEN false WHEN value > hi THEN false WHEN value < lo THEN event_type = 'click' ELSE true END, false) AS kept FROM events CROSS JOIN b""")
+def score_keep_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.keep_mask(events(spark, sf_dir), "value", 1, 95, F.col("event_type") == "click").select("event_id", "kept")
+
+
+@query("SELECT event_id, row_number() OVER (ORDER BY value, length(event_type), event_id) AS place FROM events WHERE isfinite(value) ORDER BY place LIMIT 500")
+def score_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 500 lowest scores in order: a report, planned as a top-k."""
+    head = events(spark, sf_dir).where(stats.finite("value")).orderBy(*scoring.score_order("value", "event_type", "event_id")).limit(500)
+    w = Window.orderBy(*scoring.score_order("value", "event_type", "event_id"))  # at most 500 rows
+    return head.select("event_id", F.row_number().over(w).cast("long").alias("place"))
+
+
+@query(r"""WITH w AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[@WS]+'), lambda x: x <> '')) AS w FROM documents),
+n AS (SELECT w, count(*) AS n FROM w GROUP BY w), z AS (SELECT sum(n) AS a, count(*) AS v FROM n)
+SELECT doc_id, count(*) AS n_tokens, round(exp(avg(-ln((n + 1)::DOUBLE / (a + v)::DOUBLE))), 4) AS ppl FROM w JOIN n USING (w) CROSS JOIN z GROUP BY doc_id""")
+def ngram_ppl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.unigram_perplexity(docs(spark, sf_dir)).select("doc_id", "n_tokens", F.round("ppl", 4).alias("ppl"))
+
+
+@query("""WITH @WORDS, p AS (SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) AS i FROM w)
+SELECT token, count(*) AS n FROM p GROUP BY token ORDER BY n DESC, min((doc_id, i)) LIMIT 40""")
+def top_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.top_tokens(docs(spark, sf_dir))
+
+
+@query("""WITH @WORDS, x AS (SELECT length(coalesce(text, '')) AS c, len(w) AS n, len(list_filter(w, lambda x: x = 'the')) AS u FROM documents JOIN w USING (doc_id))
+SELECT count(*) AS samples, sum(c)::BIGINT AS chars, sum(n)::BIGINT AS tokens, round(avg(n), 6) AS mean_tokens, round(avg(c), 6) AS mean_chars, round(avg(CASE WHEN n > 0 THEN c / n::DOUBLE END), 6) AS mean_chars_per_token, sum(u)::DOUBLE / sum(n)::DOUBLE AS unknown_share FROM x""")
+def tokenizer_eval_ws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = stats.tokenizer_report(docs(spark, sf_dir), t.words(t.as_text(F.col("text"))), "the")
+    return r.withColumns({c: F.round(c, 6) for c in ("mean_tokens", "mean_chars", "mean_chars_per_token")})
+
+
+@query("""WITH @IDS, h AS (SELECT len(ids) AS n, row_number() OVER (ORDER BY doc_id) AS k FROM ids)
+SELECT (SELECT count(*) FROM documents) AS "rows", (SELECT count(*) FROM ids) AS kept, (SELECT count(*) FROM documents) - (SELECT count(*) FROM ids) AS dropped,
+    (SELECT n FROM h WHERE k = 1)::BIGINT AS first_length, (SELECT sum(n) FROM h WHERE k <= 100)::BIGINT AS head_tokens""")
+def corpus_token_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = docs(spark, sf_dir).select("doc_id", tokenizing.hashed_words(F.col("text")).alias("input_ids"))
+    return stats.corpus_report(x).select("rows", "kept", "dropped", "first_length", "head_tokens")
+
+
+# conversations ----------------------------------------------------------------------------
+
+
+@query("SELECT conv_id, sha1(string_agg(text, chr(10) ORDER BY turn)) AS digest FROM conversations GROUP BY conv_id")
+def conv_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convs(spark, sf_dir).select("conv_id", F.sha1(msg.concat_text(F.col("conversations"))).alias("digest"))
+
+
+@query("SELECT conv_id, count(*) FILTER (role = 'user') AS turns, count(*) FILTER (role = 'user') >= 2 AS multi_turn, count(*) FILTER (role = 'user') = 0 AS none FROM conversations GROUP BY conv_id")
+def turn_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.col("conversations")
+    return convs(spark, sf_dir).select("conv_id", msg.count_turns(c).alias("turns"), msg.is_multi_turn(c).alias("multi_turn"), (msg.count_turns(c) == 0).alias("none"))
+
+
+@query("WITH tc AS (SELECT conv_id, count(*) FILTER (role = 'user') AS turns FROM conversations GROUP BY conv_id), " + _HIST_SQL.format(v="turns", t="tc", n=5)[5:])
+def turn_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.equal_width_histogram(convs(spark, sf_dir).select(msg.count_turns(F.col("conversations")).alias("v")), "v", 5)
+
+
+@query(r"""WITH l AS (SELECT conv_id, string_agg(CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN 'a' WHEN 'tool' THEN 't' ELSE 'x' END, '' ORDER BY turn) AS s FROM conversations GROUP BY conv_id),
+g AS (SELECT conv_id, s, length(regexp_extract(s, '^s?(?:ua)*')) AS k FROM l)
+SELECT conv_id, regexp_full_match(s, 's?(ua)+') AS ok, CASE WHEN regexp_full_match(s, 's?(ua)+') THEN NULL WHEN s[1] = 's' AND coalesce(s[2], '') <> 'u' THEN 'after_system_expect_user'
+    WHEN coalesce(s[k + 1], '') <> 'u' THEN 'expect_user_at_' || k ELSE 'expect_assistant_at_' || (k + 1) END AS reason FROM g""")
+def role_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.col("conversations")
+    return convs(spark, sf_dir).select("conv_id", msg.role_chain_ok(c).alias("ok"), msg.role_chain_reason(c).alias("reason"))
+
+
+@query("""WITH h AS (SELECT doc_id, row_number() OVER (ORDER BY md5('42|' || doc_id), doc_id) AS k FROM documents) SELECT doc_id, CASE WHEN k <= 100 THEN 'val' ELSE 'train' END AS split FROM h""")
+def pretrain_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splitting.with_split(docs(spark, sf_dir), "doc_id", 100).select("doc_id", "split")
+
+
+@query("""WITH c AS (SELECT conv_id, count(*) FILTER (role = 'user') >= 2 AS multi, row_number() OVER (PARTITION BY count(*) FILTER (role = 'user') >= 2 ORDER BY md5('43|' || conv_id), conv_id) AS k FROM conversations GROUP BY conv_id)
+SELECT conv_id, CASE WHEN multi AND k <= 20 THEN 'multi_turn_val' ELSE 'train' END AS split FROM c""")
+def multi_turn_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splitting.conversation_split(convs(spark, sf_dir), k_tool=10, k_multi=20).select("conv_id", "split")
+
+
+@query("""WITH c AS (SELECT conv_id, bool_or(role = 'system') AS s FROM conversations GROUP BY conv_id), n AS (SELECT count(*) FILTER (s) AS a, count(*) FILTER (NOT s) AS b FROM c),
+q0 AS (SELECT least(30, a) AS a0, least(30, b) AS b0, a, b FROM n), q1 AS (SELECT *, CASE WHEN a0 < 30 THEN least(b, b0 + 30 - a0) ELSE b0 END AS b1 FROM q0), q AS (SELECT b1, CASE WHEN b1 < 30 THEN least(a, a0 + 30 - b1) ELSE a0 END AS a1 FROM q1),
+r AS (SELECT conv_id, s, row_number() OVER (PARTITION BY s ORDER BY md5('42|' || conv_id), conv_id) AS k FROM c) SELECT conv_id FROM r CROSS JOIN q WHERE k <= CASE WHEN s THEN a1 ELSE b1 END""")
+def quota_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    has_system = F.exists("conversations", lambda m: m["role"] == "system")
+    return splitting.quota_sample(convs(spark, sf_dir), "conv_id", has_system, 60, 0.5).select("conv_id")
+
+
+@query("SELECT doc_id FROM documents ORDER BY md5('7|' || doc_id), doc_id LIMIT 200")
+def reservoir_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splitting.uniform_sample(docs(spark, sf_dir).select("doc_id"), "doc_id", 200, 7)
+
+
+_RENDER_SQL = "sha1(string_agg(CASE WHEN role IN ('system', 'user') THEN '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) WHEN role = 'assistant' THEN '<|im_start|>assistant' || chr(10) || ltrim(text, chr(10)) || '<|im_end|>' || chr(10) ELSE '' END, '' ORDER BY turn))"
+
+
+@query(f"SELECT conv_id, {_RENDER_SQL} AS digest FROM conversations GROUP BY conv_id")
+def chat_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convs(spark, sf_dir).select("conv_id", F.sha1(msg.render(F.col("conversations"))).alias("digest"))
+
+
+_PICK_SQL = "('0x' || substr(md5('42|' || conv_id), 1, 12))::BIGINT"
+
+
+@query(f"""WITH f AS (SELECT conv_id, arg_min(role, turn) AS r, arg_min(text, turn) AS x, min(turn) AS t0 FROM conversations GROUP BY conv_id),
+p AS (SELECT *, [{", ".join("'" + p + "'" for p in msg.PROMPTS)}][{_PICK_SQL} % {len(msg.PROMPTS)} + 1] AS prompt, {_PICK_SQL} // 1000 % 1000000 < 200000 AS draw FROM f),
+v AS (SELECT c.conv_id, c.turn, c.role, CASE WHEN c.turn = t0 AND r = 'system' AND coalesce(x, '') = '' THEN prompt ELSE c.text END AS text FROM conversations c JOIN p USING (conv_id)
+    UNION ALL SELECT conv_id, t0 - 1, 'system', prompt FROM p WHERE r <> 'system' AND draw)
+SELECT conv_id, {_RENDER_SQL} AS digest, bool_or(role = 'system') AS has_system FROM v GROUP BY conv_id""")
+def chat_render_with_system(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = convs(spark, sf_dir).select("conv_id", msg.inject_system(F.col("conversations"), F.col("conv_id")).alias("c"))
+    return x.select("conv_id", F.sha1(msg.render(F.col("c"))).alias("digest"), F.exists("c", lambda m: m["role"] == "system").alias("has_system"))
+
+
+_CALL_ROWS = [
+    (0, '[{"name": "f", "arguments": {}}]'), (1, '[{"name": "f",},]'), (2, '```json\n[{"name": "f"}]\n```'), (3, '[{"name": "f"}'), (4, '[{"name": "f"'), (5, "null"), (6, "  "), (7, "not json"), (8, '{"a": 1'), (9, None),
+]
+
+
+@query("""SELECT * FROM (VALUES (0, '[{"name": "f", "arguments": {}}]'), (1, '[{"name": "f"}]'), (2, '[{"name": "f"}]'), (3, '[{"name": "f"}]'), (4, NULL), (5, 'null'), (6, NULL), (7, NULL), (8, '{"a": 1}'), (9, NULL)) v(id, fixed)""")
+def tool_call_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repair of a fixed set of faults."""
+    return spark.createDataFrame(_CALL_ROWS, "id int, raw string").select("id", msg.repair_json(F.col("raw")).alias("fixed"))
+
+
+_TOOL_ROWS = [
+    (0, [("user", "a", None, None)], False), (1, [("tool", "a", None, None)], True), (2, [("system", "s", None, "[]")], True), (3, [("assistant", "a", "[]", None)], False),
+    (4, [("assistant", "a", '[{"name":"f"}]', None)], True), (5, [("assistant", "a", "  ", None)], False), (6, [("function", None, None, None)], True),
+]
+
+
+@query("SELECT * FROM (VALUES (0, false), (1, true), (2, true), (3, false), (4, true), (5, false), (6, true)) v(id, tool)")
+def tool_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = "id int, c array<struct<role:string,content:string,tool_calls:string,tools:string>>"
+    return spark.createDataFrame([(i, c) for i, c, _ in _TOOL_ROWS], kind).select("id", msg.is_tool_related(F.col("c")).alias("tool"))
+
+
+@query(f"""WITH m AS (SELECT conv_id, turn, role, text, max(turn) OVER (PARTITION BY conv_id) AS t1 FROM conversations), l AS (SELECT conv_id, role AS r, text AS x FROM m WHERE turn = t1)
+SELECT m.conv_id, coalesce({_RENDER_SQL.replace("ORDER BY turn)", "ORDER BY turn) FILTER (turn < t1)")}, sha1('')) AS prompt, sha1(any_value(x)) AS chosen, sha1(any_value(x) || ' no') AS rejected FROM m JOIN l USING (conv_id) WHERE r = 'assistant' GROUP BY m.conv_id""")
+def dpo_triplets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations beside a copy whose last reply is worse."""
+    c = F.col("conversations")
+    worse = F.transform(c, lambda m, i: F.when(i == F.size(c) - 1, m.withField("content", F.concat(m["content"], F.lit(" no")))).otherwise(m))
+    x = convs(spark, sf_dir).select("conv_id", msg.dpo_triplet(c, worse).alias("d")).where("d is not null")
+    return x.select("conv_id", *[F.sha1(f"d.{k}").alias(k) for k in ("prompt", "chosen", "rejected")])
+
+
+# packing -------------------------------------------------------------------------------------
+
+SEPARATOR = 0
+
+
+def _packed(spark: SparkSession, sf_dir: str, *stages: packing.Stage) -> DataFrame:
+    x = docs(spark, sf_dir).select(F.col("doc_id").alias("pos"), (F.col("doc_id") % 4).alias("shard"), tokenizing.hashed_words(F.col("text")).alias("input_ids"))
+    return packing.pack(x, schedule=stages, separator=SEPARATOR)
+
+
+@query("WITH @CHUNKS SELECT shard, chunk, count(*) AS n, md5(string_agg(token::VARCHAR, ',' ORDER BY idx)) AS digest FROM packed GROUP BY shard, chunk")
+def pack_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _packed(spark, sf_dir, packing.Stage(256))
+    return p.select("shard", "chunk", F.size("input_ids").cast("long").alias("n"), F.md5(F.array_join("input_ids", ",").cast("binary")).alias("digest"))
+
+
+@query("""WITH @TOKENS, c AS (SELECT shard, o, token, CASE WHEN o < 640 THEN o // 64 WHEN o < 640 + 20 * 128 THEN 10 + (o - 640) // 128 ELSE 30 + (o - 3200) // 512 END AS chunk FROM tok)
+SELECT shard, chunk, count(*) AS n, md5(string_agg(token::VARCHAR, ',' ORDER BY o)) AS digest FROM c GROUP BY shard, chunk""")
+def pack_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _packed(spark, sf_dir, *packing.parse_schedule([{"until_index": 10, "pack_bin_size": 64}, {"until_index": 30, "pack_bin_size": 128}, {"pack_bin_size": 512}]))
+    return p.select("shard", "chunk", F.size("input_ids").cast("long").alias("n"), F.md5(F.array_join("input_ids", ",").cast("binary")).alias("digest"))
+
+
+def _segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.segment_ids(packing.tokens_long(_packed(spark, sf_dir, packing.Stage(256)), ["shard", "chunk"]), ["shard", "chunk"], SEPARATOR)
+
+
+@query("""WITH @CHUNKS SELECT shard, chunk, idx::BIGINT AS idx, coalesce(sum((token = 0)::INT) OVER (PARTITION BY shard, chunk ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS segment FROM packed""")
+def segment_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _segmented(spark, sf_dir).select("shard", "chunk", F.col("idx").cast("long").alias("idx"), "segment")
+
+
+@query("""WITH @CHUNKS, i AS (SELECT *, sum((token = 0)::INT) OVER (PARTITION BY shard, chunk ORDER BY idx) AS g FROM packed)
+SELECT shard, chunk, idx::BIGINT AS idx, (row_number() OVER (PARTITION BY shard, chunk, g ORDER BY idx) - 1)::BIGINT AS position FROM i""")
+def position_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    long = packing.tokens_long(_packed(spark, sf_dir, packing.Stage(256)), ["shard", "chunk"])
+    return packing.position_ids(long, ["shard", "chunk"], SEPARATOR).select("shard", "chunk", F.col("idx").cast("long").alias("idx"), "position")
+
+
+@query("""WITH @CHUNKS, s AS (SELECT shard, chunk, idx, coalesce(sum((token = 0)::INT) OVER (PARTITION BY shard, chunk ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g FROM packed),
+n AS (SELECT shard, chunk, g, count(*) AS n FROM s GROUP BY ALL) SELECT shard, chunk, sum(n * (n + 1) // 2)::BIGINT AS pairs FROM n GROUP BY shard, chunk""")
+def mask_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.mask_pairs(_segmented(spark, sf_dir), ["shard", "chunk"]).groupBy("shard", "chunk").agg(F.count("*").alias("pairs"))
+
+
+@query("""WITH @CHUNKS, r AS (SELECT shard, chunk, count(*) AS n, list(token ORDER BY idx) AS ids FROM packed GROUP BY shard, chunk), b AS (SELECT *, chunk // 8 AS batch, max(n) OVER (PARTITION BY shard, chunk // 8) AS mx FROM r)
+SELECT shard, chunk, mx::BIGINT AS n, md5(array_to_string(ids || list_transform(range(0, mx - n), lambda x: 5::INT), ',')) AS ids_digest, md5(array_to_string(ids || list_transform(range(0, mx - n), lambda x: -100::INT), ',')) AS labels_digest FROM b""")
+def pad_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _packed(spark, sf_dir, packing.Stage(256)).withColumn("batch", F.struct("shard", F.floor(F.col("chunk") / 8)))
+    x = packing.pad_batches(p, "batch", pad=5)
+    digest = lambda c: F.md5(F.array_join(c, ",").cast("binary"))
+    return x.select("shard", "chunk", F.size("input_ids").cast("long").alias("n"), digest("input_ids").alias("ids_digest"), digest("labels").alias("labels_digest"))
+
+
+@query("""WITH t AS (SELECT i AS tok, i * 4 AS a, i * 4 + 4 AS b FROM range(0, 50) s(i)), s AS (SELECT * FROM (VALUES (10, 30), (55, 56), (100, 130)) v(lo, hi))
+SELECT tok, CASE WHEN EXISTS (SELECT 1 FROM s WHERE a < hi AND b > lo) THEN tok + 7 ELSE -100 END::BIGINT AS label FROM t""")
+def label_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.array(*[F.struct(F.lit(a).alias("lo"), F.lit(b).alias("hi")) for a, b in ((10, 30), (55, 56), (100, 130))])
+    i = F.sequence(F.lit(0), F.lit(49))
+    labels = packing.overlap_labels(F.transform(i, lambda x: x + 7), F.transform(i, lambda x: x * 4), F.transform(i, lambda x: x * 4 + 4), spans)
+    return _long(spark.range(1).select(F.posexplode(labels).alias("tok", "label")), "tok", "label")
+
+
+@query("""WITH t AS (SELECT doc_id % 2 AS shard, count(*) AS n FROM documents GROUP BY 1) SELECT shard, n FROM t""")
+def row_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return docs(spark, sf_dir).select(packing.shard_of("doc_id", 2).alias("shard")).groupBy("shard").agg(F.count("*").alias("n"))
+
+
+# metrics over vectors ------------------------------------------------------------------------
+
+
+@query("""WITH l AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS e, label FROM embeddings), b AS (SELECT label, vec_id, arg_max(e, (x, -e)) AS expert FROM l GROUP BY label, vec_id),
+n AS (SELECT label, expert, count(*) AS n FROM b GROUP BY ALL) SELECT label, expert::BIGINT AS expert, n, n / sum(n) OVER (PARTITION BY label)::DOUBLE AS fraction FROM n""")
+def gate_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector's largest component taken as its expert, its label as the layer."""
+    x = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.posexplode("embedding").alias("e", "x"))
+    best = x.groupBy("label", "vec_id").agg(F.max_by("e", F.struct(F.col("x").cast("double"), -F.col("e"))).cast("long").alias("expert"))
+    return stats.expert_fractions(best, "label", "expert")
+
+
+@query("""WITH l AS (SELECT vec_id // 10 AS r, vec_id % 10 AS idx, label, unnest(embedding[1:10])::DOUBLE AS x, generate_subscripts(embedding[1:10], 1) - 1 AS token FROM embeddings),
+y AS (SELECT r, idx, lead(label) OVER (PARTITION BY r ORDER BY idx) AS target FROM (SELECT DISTINCT r, idx, label FROM l)),
+m AS (SELECT r, idx, token, exp(x - max(x) OVER (PARTITION BY r, idx)) AS e, x FROM l),
+z AS (SELECT r, idx, arg_max(token, (x, -token)) AS best, ln(sum(e)) - sum(e * ln(e)) / sum(e) AS h FROM m GROUP BY r, idx)
+SELECT avg((best = target)::INT) AS accuracy, round(avg(h), 6) AS entropy, count(*) AS n FROM y JOIN z USING (r, idx) WHERE target <> -100""")
+def topk_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first ten components as logits over ten tokens, ten vectors a sequence."""
+    e = table(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / 10).alias("row"), (F.col("vec_id") % 10).alias("idx"), "label", "embedding")
+    logits = e.select("row", "idx", F.posexplode(F.slice("embedding", 1, 10)).alias("token", "logit")).withColumn("logit", F.col("logit").cast("double"))
+    return stats.top1_accuracy(e.select("row", "idx", "label"), logits).withColumn("entropy", F.round("entropy", 6))
