@@ -222,17 +222,20 @@ def inject_system(conv: Column, key: Column, ratio: float = 0.2, prompts: Iterab
 def dpo_triplet(chosen: Column, rejected: Column) -> Column:
     """(prompt, chosen, rejected) of two conversations that part at the last reply; null where either isn't
     a conversation that ends with the assistant."""
-    good = lambda c: (F.size(c) > 0) & c[0]["role"].isNotNull() & (F.element_at(c, -1)["role"] == "assistant")
+    last = lambda c: F.get(c, F.size(c) - 1)
+    good = lambda c: (F.size(c) > 0) & F.get(c, F.lit(0))["role"].isNotNull() & (last(c)["role"] == "assistant")
     return F.when(
         F.coalesce(good(chosen) & good(rejected), F.lit(False)),
-        F.struct(
-            render(F.slice(chosen, F.lit(1), F.size(chosen) - 1)).alias("prompt"), F.element_at(chosen, -1)["content"].alias("chosen"), F.element_at(rejected, -1)["content"].alias("rejected")
-        ),
+        F.struct(render(_but_last(chosen)).alias("prompt"), last(chosen)["content"].alias("chosen"), last(rejected)["content"].alias("rejected")),
     )
 
 
+def _but_last(c: Column) -> Column:
+    return F.slice(c, F.lit(1), F.greatest(F.size(c) - 1, F.lit(0)))
+
+
 def same_prefix(chosen: Column, rejected: Column) -> Column:
     """Whether all messages but the last agree in role and content."""
-    a, b = F.slice(chosen, F.lit(1), F.size(chosen) - 1), F.slice(rejected, F.lit(1), F.size(rejected) - 1)
+    a, b = _but_last(chosen), _but_last(rejected)
     eq = F.zip_with(a, b, lambda x, y: x["role"].eqNullSafe(y["role"]) & x["content"].eqNullSafe(y["content"]))
     return (F.size(a) == F.size(b)) & F.forall(eq, lambda e: F.coalesce(e, F.lit(False)))
