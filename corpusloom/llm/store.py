@@ -40,6 +40,7 @@ LEAST, MOST, BITS, WINDOW = 64, 2048, 8, 16
 ID_TYPE = "<u2"  # the vocabulary has fewer than 65,536 ids
 
 _GEAR = np.random.default_rng(20240229).integers(0, 1 << 64, 1 << 16, dtype=np.uint64)
+_ZEROS = memoryview(bytes(4 * MOST))
 _MASK = np.uint64(((1 << BITS) - 1) << (64 - BITS))
 
 
@@ -172,52 +173,14 @@ def _checked_chunks(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/chunks").select("hash", "n_ids", "payload").mapInArrow(run, "hash binary, n int, crc long")
 
 
-def _times_x(v: int) -> int:
-    return (v >> 1) ^ (0xEDB88320 if v & 1 else 0)
-
-
-class CrcJoin:
-    """crc32 of a concatenation from the parts' checksums: appending n bytes multiplies by a power of x
-    modulo the polynomial, a linear map kept as four tables of 256 entries per length."""
-
-    def __init__(self) -> None:
-        self.tables: dict[int, list[list[int]]] = {}
-
-    @staticmethod
-    def _apply(columns: list[int], v: int) -> int:
-        out = 0
-        for c in columns:
-            if v & 1:
-                out ^= c
-            v >>= 1
-        return out
-
-    def _table(self, n_bytes: int) -> list[list[int]]:
-        square = [1 << i for i in range(32)]
-        step = [_times_x(1 << i) for i in range(32)]  # one zero bit
-        bits = 8 * n_bytes
-        while bits:
-            if bits & 1:
-                square = [self._apply(step, c) for c in square]
-            step = [self._apply(step, c) for c in step]
-            bits >>= 1
-        tables = []
-        for k in range(4):
-            own = square[8 * k : 8 * k + 8]
-            tables.append([self._apply(own, v) for v in range(256)])
-        return tables
-
-    def __call__(self, parts: list[tuple[int, int]]) -> int:
-        """``parts``: (crc32, length in bytes) of each part."""
-        crc = 0
-        for c, n in parts:
-            t = self.tables.get(n)
-            if t is None:
-                if len(self.tables) > 4096:
-                    self.tables.clear()
-                t = self.tables[n] = self._table(n)
-            crc = t[0][crc & 255] ^ t[1][crc >> 8 & 255] ^ t[2][crc >> 16 & 255] ^ t[3][crc >> 24] ^ c
-        return crc
+def joined_crc(parts: list[tuple[int, int]]) -> int:
+    """crc32 of a concatenation from the (crc32, length) of its parts.  The checksum is linear: against a
+    run of zeros of the same length, a part changes it by what it changes on its own."""
+    crc = 0
+    for own, n in parts:
+        zeros = _ZEROS[:n]
+        crc = zlib.crc32(zeros, crc) ^ zlib.crc32(zeros) ^ own
+    return crc
 
 
 def _references(spark: SparkSession, root: str) -> DataFrame:
@@ -241,14 +204,13 @@ def digests(spark: SparkSession, root: str) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        join = CrcJoin()
         for b in batches:
             out = []
             for n, parts in zip(b.column("n_tokens").to_pylist(), b.column("parts").to_pylist()):
                 rows = sorted((p["k"], p["crc"], p["n"]) for p in parts)
                 if any(c is None for _, c, _ in rows) or sum(x for _, _, x in rows) != n:
                     raise ValueError("a recipe names a chunk that the store lacks")
-                out.append(join([(c, 4 * x) for _, c, x in rows]))
+                out.append(joined_crc([(c, 4 * x) for _, c, x in rows]))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("start"), b.column("n_tokens"), pa.array(out, pa.int64())], schema.names)
 
     schema = T.StructType([docs.schema["doc_id"], T.StructField("start", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType())])

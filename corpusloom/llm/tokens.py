@@ -49,7 +49,7 @@ def default_path() -> str:
 
 
 class Pieces:
-    """Ids and prefix counts of pieces of text, cached by piece; a full cache is emptied.
+    """Ids and prefix counts of pieces of text, cached by piece; a full cache keeps what is in use.
 
     A new piece is cut into pre-tokens, and all new pre-tokens of a batch are encoded in one call of a
     tokenizer that holds the model alone.  A pre-token's last id carries the end-of-word mark, which tells
@@ -90,6 +90,15 @@ class Pieces:
 
     @staticmethod
     def split(text: str) -> list[str]:
+        """Pieces between spaces.  Latin-1 text is lower-cased first, which there maps code points one to
+        one and can't meet a combining mark, so fewer distinct pieces are left; a text that may hold a
+        special string keeps its case."""
+        if "<|" not in text:
+            try:
+                text.encode("latin-1")
+                text = text.lower()
+            except UnicodeEncodeError:
+                pass
         return text.replace("\n", " ").split(" ")
 
     def _kind(self, c: str) -> tuple[str, str]:
@@ -121,27 +130,31 @@ class Pieces:
         """A pre-token in the vocabulary's byte alphabet."""
         return word if word.isascii() else word.encode().decode("latin-1").translate(self.alphabet)
 
-    def bulk(self, words: list[str]) -> list[np.ndarray]:
+    def bulk(self, words: list[str], dtype: str = "<u2") -> list[bytes]:
         """Ids of each pre-token."""
-        out: list[np.ndarray] = []
+        out: list[bytes] = []
+        width = np.dtype(dtype).itemsize
         for lo in range(0, len(words), 2000):
             part = words[lo : lo + 2000]
             ids = np.asarray(self.bare.encode(" ".join(map(self.symbols, part)), add_special_tokens=False).ids, np.uint32)
-            at = np.flatnonzero(self.ends[ids]) + 1
+            at = ((np.flatnonzero(self.ends[ids]) + 1) * width).tolist()
             if len(at) != len(part):
                 raise ValueError("the tokenizer's words don't match the pre-tokens given")
-            out.extend(np.split(ids, at[:-1]))
+            raw = ids.astype(dtype).tobytes()
+            out.extend([raw[a:b] for a, b in zip([0, *at], at)])
         return out
 
     def encode(self, pieces: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def _new(self, known: dict[str, bytes], texts: list[list[str]]) -> list[str]:
-        new = set().union(*texts).difference(known)
-        if len(known) + len(new) > CACHE_PIECES:
+        now = set().union(*texts)
+        new = now.difference(known)
+        if len(known) + len(new) > CACHE_PIECES:  # what this batch uses stays, the rest goes
+            kept = {p: known[p] for p in now.difference(new)}
             known.clear()
+            known.update(kept)
             known[""] = b""
-            new = set().union(*texts).difference(known)
         return list(new)
 
     def id_bytes(self, texts: list[str], dtype: str = "<u2") -> list[bytes]:
@@ -157,10 +170,10 @@ class Pieces:
         if len(self.words) > CACHE_PIECES:
             self.words = {}
         new = list({w for _, c in cuts for w in c}.difference(self.words))
-        self.words.update(zip(new, [i.astype(dtype).tobytes() for i in self.bulk(new)]))
+        self.words.update(zip(new, self.bulk(new, dtype)))
         word = self.words.__getitem__
         for p, c in cuts:
-            self.ids[p] = b"".join(map(word, c))
+            self.ids[p] = b"".join(map(word, c)) if len(c) > 1 else word(c[0]) if c else b""
         get = self.ids.__getitem__
         return [b"".join(map(get, s)) for s in split]
 
@@ -177,7 +190,7 @@ class Pieces:
             if not w.isascii():  # counts at code points' ends
                 at = np.cumsum([len(x.encode()) for x in w])
                 c = [c[k - 1] for k in at]
-            if c[-1] == len(i):
+            if c[-1] * 2 == len(i):
                 short[w] = c
         for p, c in cuts:
             out = []
