@@ -7,7 +7,7 @@ lattice falls apart into its words' lattices: a word's log probability is the fo
 ``f[j] = logsumexp(f[i] + log p(word[i:j]))`` over all pieces, bytes included for unknown characters, and
 is computed once per distinct word.  A text's score is the sum over its words and one end.
 
-Counting without a row per token: documents are encoded in blocks (the rows of one Arrow batch), each with
+Counting without a row per token: documents are encoded in blocks (the rows of up to 32 MB of text), each with
 its own dictionary, and written to the shared folder.  What is shuffled is one row per block and distinct
 word, which grows with the corpus's vocabulary in use, not with its tokens, and is no heavier for a word
 that makes a third of all tokens.  Blocks then meet their dictionary again by block number.
@@ -20,12 +20,13 @@ result; a null doc_id is a training row; other columns are ignored.
 from __future__ import annotations
 
 import math
-import uuid
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,8 +34,9 @@ from pyspark.sql import types as T
 from corpusloom.llm.common import LOWER, UPPER, Scratch, arrow_batches
 
 FOLDS, FOLD = 7, 2
-BLOCK_ROWS = 4000
-BLOCK_BYTES = 12_000_000
+#: Most rows and bytes of text in a block.
+BLOCK_ROWS = 20_000
+BLOCK_BYTES = 32_000_000
 #: The end of a text, as a word: no word holds a space.
 END = " "
 _TABLE = bytes.maketrans(UPPER.encode(), LOWER.encode())
@@ -55,34 +57,36 @@ def _encoded(df: DataFrame) -> DataFrame:
     per block, its dictionary: words, counts in training rows."""
     slim = df.select("doc_id", held_out().alias("held_out"), F.col("text").cast("string").cast("binary").alias("text"))
     schema = T.StructType([
-        T.StructField("block", T.StringType()), slim.schema["doc_id"], T.StructField("held_out", T.BooleanType()), T.StructField("ids", T.BinaryType()),
+        T.StructField("block", T.LongType()), slim.schema["doc_id"], T.StructField("held_out", T.BooleanType()), T.StructField("ids", T.BinaryType()),
         T.StructField("words", T.ArrayType(T.StringType())), T.StructField("counts", T.ArrayType(T.LongType())),
     ])
 
-    def flush(ids: list, held: list, texts: list) -> Iterator[pa.RecordBatch]:
-        block = uuid.uuid4().hex
+    def flush(block: int, ids: list, held: list, texts: list) -> Iterator[pa.RecordBatch]:
         words = [(t or b"").translate(_TABLE).split() for t in texts]
-        names = sorted(set().union(*words))
-        number = dict(zip(names, range(1, len(names) + 1)))
+        number: defaultdict[bytes, int] = defaultdict()
+        number.default_factory = number.__len__  # a new word gets the next number
+        number[END.encode()]
         sizes = np.asarray([len(w) for w in words])
         flat = np.fromiter(map(number.__getitem__, chain.from_iterable(words)), np.uint32, int(sizes.sum()))
-        train = np.repeat(~np.asarray(held, bool), sizes)
-        counts = np.bincount(flat[train], minlength=len(names) + 1)
-        counts[0] = int((~np.asarray(held, bool)).sum())
-        ends = np.cumsum(sizes)
-        n = len(ids)
+        train = ~np.asarray(held, bool)
+        counts = np.bincount(flat[np.repeat(train, sizes)], minlength=len(number))
+        counts[0] = int(train.sum())
+        n, ends = len(ids), np.cumsum(sizes)
         parts = [flat[e - s : e].tobytes() for s, e in zip(sizes, ends)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([block] * n), pa.array(ids, kinds[1].type), pa.array(held, pa.bool_()), pa.array(parts, pa.binary()), pa.nulls(n, pa.list_(pa.string())), pa.nulls(n, pa.list_(pa.int64()))], schema.names)
-        for lo in range(0, len(names) + 1, 10_000):
-            # the dictionary in slices; word k of slice s has number lo + k, and number 0 is the end
-            own = [END, *(w.decode("utf-8") for w in names)][lo : lo + 10_000]
+            [pa.array([block] * n, pa.int64()), pa.array(ids, kinds[1].type), pa.array(held, pa.bool_()), pa.array(parts, pa.binary()), pa.nulls(n, pa.list_(pa.string())), pa.nulls(n, pa.list_(pa.int64()))], schema.names)
+        names = [w.decode("utf-8") for w in number]
+        for lo in range(0, len(names), 10_000):
+            # the dictionary in slices; word k of the slice that starts at lo has number lo + k
             yield pa.RecordBatch.from_arrays(
-                [pa.array([f"{block}"]), pa.nulls(1, kinds[1].type), pa.nulls(1, pa.bool_()), pa.array([str(lo).encode()]), pa.array([own], pa.list_(pa.string())), pa.array([counts[lo : lo + 10_000].tolist()], pa.list_(pa.int64()))], schema.names)
+                [pa.array([block], pa.int64()), pa.nulls(1, kinds[1].type), pa.nulls(1, pa.bool_()), pa.array([str(lo).encode()]), pa.array([names[lo : lo + 10_000]], pa.list_(pa.string())), pa.array([counts[lo : lo + 10_000].tolist()], pa.list_(pa.int64()))], schema.names)
 
     kinds: dict = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the part's number and a running one: a task that runs again gives the same numbers, and the commit
+        # protocol keeps the rows of one of its runs
+        block = TaskContext.get().partitionId() << 32
         ids, held, texts, size = [], [], [], 0
         for b in batches:
             kinds[1] = b.schema.field("doc_id")
@@ -92,10 +96,10 @@ def _encoded(df: DataFrame) -> DataFrame:
             texts += own
             size += sum(len(t or b"") for t in own)
             if len(ids) >= BLOCK_ROWS or size >= BLOCK_BYTES:
-                yield from flush(ids, held, texts)
-                ids, held, texts, size = [], [], [], 0
+                yield from flush(block, ids, held, texts)
+                block, ids, held, texts, size = block + 1, [], [], [], 0
         if ids:
-            yield from flush(ids, held, texts)
+            yield from flush(block, ids, held, texts)
 
     return arrow_batches(slim).mapInArrow(run, schema)
 
@@ -218,9 +222,9 @@ def score(df: DataFrame, path: str | None = None) -> DataFrame:
             ids = np.frombuffer(raw, np.uint32)
             cols[0].append(len(ids) + 1)
             cols[1].append(int(known[ids].sum() + known[0]))
-            # sums run in order of the words' numbers' occurrence, the same for every run of a document
-            cols[2].append(math.fsum(base[ids]) + base[0])
-            cols[3].append(math.fsum(own[ids]) + own[0])
+            # summed in the order of the text, so that reruns and other blocks give the same bits
+            cols[2].append(float(base[ids].sum()) + base[0])
+            cols[3].append(float(own[ids].sum()) + own[0])
         n = docs.num_rows
         types = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         a = [pa.array(c, t) for c, t in zip(cols, types)]
