@@ -148,5 +148,7 @@ def filter_documents(df: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:
     """The rows, with all their columns, that the policy keeps.  One pass: no join back to the texts."""
     names = [f"__c{i}" for i in range(len(df.columns))]
     led = measure(df.toDF(*names), text=names[df.columns.index("text")], keep=tuple(names))
-    led = apply_policy(ledger(led), policy, out="__kept")
-    return led.where("__kept").select(*[F.col(n).alias(c) for n, c in zip(names, df.columns)])
+    # a row number makes the last projection one that filters are not pushed through: pushed down, the
+    # verdict would be written out in terms of the text, every measurement many times over
+    led = apply_policy(ledger(led), policy, out="__kept").select(*names, "__kept", F.monotonically_increasing_id().alias("__row"))
+    return led.where(F.col("__kept") & (F.col("__row") >= 0)).select(*[F.col(n).alias(c) for n, c in zip(names, df.columns)])
