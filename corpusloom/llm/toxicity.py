@@ -190,7 +190,8 @@ class Scorer:
     def scores(self, texts: list[str | None]) -> np.ndarray:
         z = np.full(len(texts), self.model.bias)
         if self.model.coef:
-            z = z + (self.features(texts) - self.model.mean) / self.model.scale @ np.asarray(self.model.coef)
+            # summed row by row, so that a score doesn't depend on the texts beside it
+            z = z + ((self.features(texts) - self.model.mean) / self.model.scale * self.model.coef).sum(axis=1)
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
