@@ -7,7 +7,7 @@ lattice falls apart into its words' lattices: a word's log probability is the fo
 ``f[j] = logsumexp(f[i] + log p(word[i:j]))`` over all pieces, bytes included for unknown characters, and
 is computed once per distinct word.  A text's score is the sum over its words and one end.
 
-Counting without a row per token: documents are encoded in blocks (the rows of up to 32 MB of text), each with
+Counting without a row per token: documents are encoded in blocks (the rows of up to 16 MB of text), each with
 its own dictionary, and written to the shared folder.  What is shuffled is one row per block and distinct
 word, which grows with the corpus's vocabulary in use, not with its tokens, and is no heavier for a word
 that makes a third of all tokens.  Blocks then meet their dictionary again by block number.
@@ -35,8 +35,8 @@ from corpusloom.llm.common import LOWER, UPPER, Scratch, arrow_batches
 
 FOLDS, FOLD = 7, 2
 #: Most rows and bytes of text in a block.
-BLOCK_ROWS = 20_000
-BLOCK_BYTES = 32_000_000
+BLOCK_ROWS = 10_000
+BLOCK_BYTES = 16_000_000
 #: The end of a text, as a word: no word holds a space.
 END = " "
 _TABLE = bytes.maketrans(UPPER.encode(), LOWER.encode())
