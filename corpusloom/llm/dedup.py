@@ -323,9 +323,10 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return j.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).drop("la", "lb")
 
 
-def link(df: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_shingles, node, component_id, kept."""
-    scratch = Scratch(df.sparkSession, "near-dedup")
+def link(df: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """Per row: doc_id, n_shingles, node, component_id, kept.  The result reads tables of ``scratch``; what
+    only led to it is deleted on the way."""
+    scratch = scratch or Scratch(df.sparkSession, "near-dedup")
     rows = scratch.write(sketches(df), "sketches")
     per_node = rows.where("node is not null").groupBy("node").agg(F.min(F.struct("doc_id", "n_shingles", "sig")).alias("m"))
     signed = scratch.write(per_node.select("node", F.col("m.doc_id").alias("doc_id"), F.col("m.n_shingles").alias("n_shingles"), F.col("m.sig").alias("sig")), "signed")
@@ -350,6 +351,8 @@ def link(df: DataFrame) -> DataFrame:
     if not rest.isEmpty():
         edges = edges.union(scratch.write(confirm(df, rest, nodes), "more"))
         labels = components(edges, scratch, "two")
+    for name in ("regions", "pairs", "first", "mixed", "rest", *(f"{t}{k}" for t in ("level", "ways") for k in range(len(DEPTHS)))):
+        scratch.drop(name)
     owner = labels.join(nodes, "node").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     per_node = nodes.join(labels, "node", "left").join(owner, "label", "left").select("node", F.coalesce("component_id", "doc_id").alias("component_id"))
     out = rows.drop("sig").join(per_node, "node", "left")
@@ -367,7 +370,9 @@ def deduplicate(df: DataFrame) -> DataFrame:
     The verdicts are joined back on doc_id; where an id occurs more than once among the kept rows, one of
     its rows stays."""
     scratch = Scratch(df.sparkSession, "near-dedup-out")
-    verdicts = scratch.write(link(df), "verdicts")
+    links = Scratch(df.sparkSession, "near-dedup")
+    verdicts = scratch.write(link(df, links), "verdicts")
+    links.drop()
     gone = verdicts.where("not kept").select(F.col("doc_id").alias("__id")).distinct()
     names = [f"__c{i}" for i in range(len(df.columns))]
     inner = df.toDF(*names)
