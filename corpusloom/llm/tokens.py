@@ -37,6 +37,7 @@ BUDGET = 2048
 CACHE_PIECES = 700_000
 #: Printable ASCII without apostrophes: lower-casing and cutting need no look at Unicode.
 SIMPLE = re.compile(r"[\x21-\x26\x28-\x7e]*")
+MARKS = re.compile(r"([^\w\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+) ")
 SEGMENT = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
 #: Start of a prefix store of 32-bit differences.
 WIDE = b"\x04wide"
@@ -77,7 +78,6 @@ class Pieces:
         self.kinds: dict[str, tuple[str, str]] = {}
         self.ids: dict[str, bytes] = {"": b""}
         self.deltas: dict[str, bytes] = {"": b""}
-        self.words: dict[str, bytes] = {}
         self.prefix = PrefixTable(spec["model"])
         self.wide: set[str] = set()
 
@@ -136,7 +136,7 @@ class Pieces:
         width = np.dtype(dtype).itemsize
         for lo in range(0, len(words), 2000):
             part = words[lo : lo + 2000]
-            ids = np.asarray(self.bare.encode(" ".join(map(self.symbols, part)), add_special_tokens=False).ids, np.uint32)
+            ids = np.asarray(self.bare.encode_batch_fast([" ".join(map(self.symbols, part))], add_special_tokens=False)[0].ids, np.uint32)
             at = ((np.flatnonzero(self.ends[ids]) + 1) * width).tolist()
             if len(at) != len(part):
                 raise ValueError("the tokenizer's words don't match the pre-tokens given")
@@ -157,24 +157,46 @@ class Pieces:
             known[""] = b""
         return list(new)
 
+    @staticmethod
+    def pieces(text: str) -> list[str]:
+        """As ``split``, with a run of marks that ends a piece made a piece of its own: after a letter or a
+        number such a run is a pre-token, and elsewhere the cut falls on white space.  An underscore is a mark
+        to the tokenizer but not to the pattern, so texts with one are left as they are."""
+        if "<|" not in text:
+            try:
+                text.encode("latin-1")
+                text = text.lower()
+            except UnicodeEncodeError:
+                pass
+            text = text.replace("\n", " ")
+            if "_" not in text:
+                text = MARKS.sub(r" \1 ", text)
+            return text.split(" ")
+        return text.replace("\n", " ").split(" ")
+
     def id_bytes(self, texts: list[str], dtype: str = "<u2") -> list[bytes]:
         """The ids of each text, little-endian."""
-        split = [self.split(t) for t in texts]
-        cuts: list[tuple[str, list[str]]] = []
-        for p in self._new(self.ids, split):
+        split = [self.pieces(t) for t in texts]
+        ids = self.ids
+        words, cuts = set(), []
+        for p in self._new(ids, split):
+            if p.isascii() and p.isalpha() and p.islower():
+                words.add(p)
+                continue
             c = self.cut(p)
             if c is None:
-                self.ids[p] = np.asarray(self.encode([p])[0], dtype).tobytes()
+                ids[p] = np.asarray(self.encode([p])[0], dtype).tobytes()
             else:
                 cuts.append((p, c))
-        if len(self.words) > CACHE_PIECES:
-            self.words = {}
-        new = list({w for _, c in cuts for w in c}.difference(self.words))
-        self.words.update(zip(new, self.bulk(new, dtype)))
-        word = self.words.__getitem__
+        # a pre-token is a piece too, so both share the cache
+        for _, c in cuts:
+            words.update(c)
+        new = list(words.difference(ids))
+        ids.update(zip(new, self.bulk(new, dtype)))
+        get = ids.__getitem__
         for p, c in cuts:
-            self.ids[p] = b"".join(map(word, c)) if len(c) > 1 else word(c[0]) if c else b""
-        get = self.ids.__getitem__
+            if len(c) != 1 or c[0] != p:
+                ids[p] = b"".join(map(get, c))
         return [b"".join(map(get, s)) for s in split]
 
     def _learn_deltas(self, split: list[list[str]]) -> None:
