@@ -199,7 +199,8 @@ def _dense_rest(level0: DataFrame, labels: DataFrame, scratch: Scratch) -> DataF
     Here each row goes on under ``WAYS`` different choices of further values, so that a pair at the
     threshold still meets (1 - (1 - 0.7^2)^8 = 99.5 % at the first step, 1 - (1 - 0.7^3)^8 = 96.5 % at the
     second, in each of the orders in which it shares a region).  Regions of one component, above all the
-    large groups of copies, are left out at every step, so only mixed dense regions are multiplied."""
+    large groups of copies, are left out at every step, so only mixed dense regions are multiplied.  What is
+    dense after both steps is compared in whole (``_whole``)."""
     rows = level0.where(F.col("count") > REGION).drop("count").join(labels, "node", "left").withColumn("c", F.coalesce("label", "node")).drop("label")
     out = None
     for step, ways in enumerate(WAYS):
@@ -213,13 +214,28 @@ def _dense_rest(level0: DataFrame, labels: DataFrame, scratch: Scratch) -> DataF
         rows = keyed.where(F.col("count") > REGION).drop("count")
         if rows.isEmpty():
             return out
-    # what shares eight values and more: longest-common-prefix neighbours, parts told by the next value
-    w = Window.partitionBy("region", F.substring("tail", 1, 2)).orderBy("tail", "node")
-    near = rows.select("node", "n", "c", F.array(*[F.lead(F.struct("node", "n", "c"), k).over(w) for k in range(1, 9)]).alias("near"))
-    near = near.select("node", "n", "c", F.explode("near").alias("o"))
-    near = near.where(F.col("o").isNotNull() & (F.col("o.c") != F.col("c")) & _fair("n", "o.n"))
+    return out.union(_whole(rows))
+
+
+def _whole(rows: DataFrame) -> DataFrame:
+    """Pairs of regions that share eight values and more and are dense still, in whole: each row outside its
+    region's largest component with all rows of the components that it meets.
+
+    A row meets a component in many regions, so the two are told first and once.  Both joins are salted: a
+    task takes about ``REGION`` components of a region, or members of a component, at a time."""
+    parts = rows.groupBy("region", "c").agg(F.count("*").alias("k"))
+    top = parts.groupBy("region").agg(F.max(F.struct("k", "c")).alias("m"), F.ceil(F.count("*") / REGION).alias("s")).select("region", F.col("m.c").alias("top"), "s")
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("s") - 1)).alias("block")
+    asks = rows.join(top, "region").where("c <> top").select("region", "node", "n", "c", salts)
+    has = parts.join(top, "region").select("region", F.col("c").alias("o"), F.pmod(F.xxhash64("c"), F.col("s")).alias("block"))
+    met = asks.join(has, ["region", "block"]).where("c <> o").select("node", "n", "o").distinct()
+    members = rows.select("node", "n", "c").distinct()
+    blocks = members.groupBy("c").agg(F.ceil(F.count("*") / REGION).alias("s"))
+    asked = met.join(blocks.withColumnRenamed("c", "o"), "o").select("o", "node", "n", salts)
+    own = members.join(blocks, "c").select(F.col("c").alias("o"), F.col("node").alias("other"), F.col("n").alias("m"), F.pmod(F.xxhash64("node"), F.col("s")).alias("block"))
+    pairs = asked.join(own, ["o", "block"]).where(_fair("n", "m"))
     # found once is enough here: their orders agree far
-    return out.union(near.select(F.least("node", "o.node").alias("a"), F.greatest("node", "o.node").alias("b"), F.lit(2).alias("hits")))
+    return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"), F.lit(2).alias("hits"))
 
 
 def _across(rows: DataFrame) -> DataFrame:

@@ -73,6 +73,20 @@ def test_dense_regions_lose_no_links(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_dense_rest_compares_all_rows(spark, monkeypatch):
+    """A region that no further value cuts: a row meets every row of the other components, not the next few."""
+    from corpusloom.llm.common import Scratch
+
+    monkeypatch.setattr(dedup, "REGION", 8)
+    name = [b"n%03d" % i for i in range(60)]
+    label = dict.fromkeys(name[:40], name[0]) | dict.fromkeys(name[40:57], name[40])  # and three rows by themselves
+    size = {x: 100 for x in name} | {name[59]: 10}  # too small for any link
+    level0 = spark.createDataFrame([(1, x, size[x], bytes(16) + bytes([i // 30, i]), 60) for i, x in enumerate(name)], "region long, node binary, n long, tail binary, count long")
+    labels = spark.createDataFrame(list(label.items()), "node binary, label binary")
+    got = {(bytes(r["a"]), bytes(r["b"])) for r in dedup._dense_rest(level0, labels, Scratch(spark, "t")).collect()}
+    assert got == {(a, b) for a in name[:59] for b in name[:59] if a < b and label.get(a, a) != label.get(b, b)}
+
+
 def test_odd_rows(odd, empty):
     rows = dedup.near_duplicates(odd).collect()
     assert len(rows) == 8 and {r["component_id"] for r in rows if r["doc_id"] == 5} == {5}
