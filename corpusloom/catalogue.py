@@ -266,6 +266,12 @@ def score_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return head.select("event_id", F.row_number().over(w).cast("long").alias("place"))
 
 
+@query()
+def score_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole order, of which ``score_sort`` is the head: the place of every row, non-finite scores in order too."""
+    return scoring.places(events(spark, sf_dir), "value", "event_type", "event_id").select("event_id", "place")
+
+
 @query(r"""WITH w AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[@WS]+'), lambda x: x <> '')) AS w FROM documents),
 n AS (SELECT w, count(*) AS n FROM w GROUP BY w), z AS (SELECT sum(n) AS a, count(*) AS v FROM n)
 SELECT doc_id, count(*) AS n_tokens, round(exp(avg(-ln((n + 1)::DOUBLE / (a + v)::DOUBLE))), 4) AS ppl FROM w JOIN n USING (w) CROSS JOIN z GROUP BY doc_id""")

@@ -8,9 +8,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from corpusloom.functions import text as t
 from corpusloom.operators.stats import finite, percentile_bounds
+from corpusloom.sources.tables import Shared
 
 
 def keep_mask(df: DataFrame, score: str, low: float = 1.0, high: float = 95.0, structured: Column | None = None) -> DataFrame:
@@ -33,6 +35,24 @@ def score_order(score: str, text: str, pos: str) -> list[Column]:
     return [F.isnan(s), F.when(F.isnan(s), float("inf")).otherwise(s), F.length(F.col(text)), F.col(pos)]
 
 
+def places(df: DataFrame, score: str, text: str, pos: str) -> DataFrame:
+    """The rows in parts by range, with ``place``, from 1, in ``score_order``.  Each part is numbered by
+    itself, on top of the rows of the parts before, so no task orders the whole table."""
+    spark = df.sparkSession
+    order = score_order(score, text, pos)
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # written once: ranges come from a sample, and the counts and the numbers must see the same ones
+    at = Shared(spark, "places").write(df.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()), "ranged")
+    base, n = [], 0
+    for p, k in sorted(at.groupBy("__part").count().collect()):  # one row per partition
+        base.append((p, n))
+        n += k
+    offsets = spark.createDataFrame(base, "__part int, __base long")
+    rn = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
+    out = at.withColumn("__rn", rn).join(F.broadcast(offsets), "__part")
+    return out.withColumn("place", F.col("__base") + F.col("__rn")).drop("__base", "__rn", "__part")
+
+
 def unigram_perplexity(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, n_tokens, ppl): exp of the mean negative log of add-one word probabilities over the table
     itself.  Counts come per document and word first, so a frequent word is as cheap as a rare one."""
