@@ -30,6 +30,7 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -141,6 +142,13 @@ def sketches(df: DataFrame) -> DataFrame:
     return arrow_batches(slim).mapInArrow(run, schema)
 
 
+@F.pandas_udf(T.BinaryType())
+def _node(texts: pd.Series) -> pd.Series:
+    """The digest of the words of texts given as UTF-8, as in ``sketches``."""
+    words = Shingler().words(texts.tolist())
+    return pd.Series([hashlib.md5(b" ".join(w)).digest() if w else None for w in words], dtype=object)
+
+
 def forest(nodes: DataFrame) -> DataFrame:
     """Per node and tree: region of depth three, the order's further values, size."""
     deep = DEPTHS[-1] - DEPTHS[0]
@@ -340,11 +348,11 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def link(df: DataFrame, scratch: Scratch | None = None) -> DataFrame:
-    """Per row: doc_id, n_shingles, node, component_id, kept.  The result reads tables of ``scratch``; what
+    """Per row: doc_id, n_shingles, node, group, component_id, kept.  The result reads tables of ``scratch``; what
     only led to it is deleted on the way."""
     scratch = scratch or Scratch(df.sparkSession, "near-dedup")
     rows = scratch.write(sketches(df), "sketches")
-    per_node = rows.where("node is not null").groupBy("node").agg(F.min(F.struct("doc_id", "n_shingles", "sig")).alias("m"))
+    per_node = rows.where("node is not null").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "n_shingles", "sig")).alias("m"))
     signed = scratch.write(per_node.select("node", F.col("m.doc_id").alias("doc_id"), F.col("m.n_shingles").alias("n_shingles"), F.col("m.sig").alias("sig")), "signed")
     nodes = signed.select("node", "doc_id", "n_shingles")
     regions = scratch.write(_regions(forest(signed), scratch), "regions", "lz4")
@@ -370,10 +378,10 @@ def link(df: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     for name in ("regions", "pairs", "first", "mixed", "rest", *(f"{t}{k}" for t in ("level", "ways") for k in range(len(DEPTHS)))):
         scratch.drop(name)
     owner = labels.join(nodes, "node").groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    per_node = nodes.join(labels, "node", "left").join(owner, "label", "left").select("node", F.coalesce("component_id", "doc_id").alias("component_id"))
+    per_node = nodes.join(labels, "node", "left").join(owner, "label", "left").select("node", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("label", "node").alias("group"))
     out = rows.drop("sig").join(per_node, "node", "left")
     out = out.withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-    return out.select("doc_id", "n_shingles", "node", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
+    return out.select("doc_id", "n_shingles", "node", "group", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
 
 
 def near_duplicates(df: DataFrame) -> DataFrame:
@@ -381,19 +389,28 @@ def near_duplicates(df: DataFrame) -> DataFrame:
 
 
 def deduplicate(df: DataFrame) -> DataFrame:
-    """The rows, with all columns, of one document per group.
+    """The rows, with all columns, of one document per group: of its smallest id (null only if it has no
+    other), and of one text if this id has several in the group.
 
-    The verdicts are joined back on doc_id; where an id occurs more than once among the kept rows, one of
-    its rows stays."""
+    Verdicts are joined back on doc_id where ids tell rows apart, else on doc_id and words.  Of rows equal
+    in both one stays; rows without words are in no group and all stay."""
     scratch = Scratch(df.sparkSession, "near-dedup-out")
     links = Scratch(df.sparkSession, "near-dedup")
     verdicts = scratch.write(link(df, links), "verdicts")
     links.drop()
-    gone = verdicts.where("not kept").select(F.col("doc_id").alias("__id")).distinct()
     names = [f"__c{i}" for i in range(len(df.columns))]
     inner = df.toDF(*names)
-    key = names[df.columns.index("doc_id")]
-    left = inner.join(gone, F.col(key).eqNullSafe(F.col("__id")), "left_anti")
-    if not verdicts.where("kept").groupBy("doc_id").count().where("count > 1").isEmpty():
-        left = left.dropDuplicates([key])
+    key, text = names[df.columns.index("doc_id")], names[df.columns.index("text")]
+    if verdicts.groupBy("doc_id").count().where("count > 1").isEmpty():
+        gone = verdicts.where("not kept").select(F.col("doc_id").alias("__id"))
+        left = inner.join(gone, F.col(key).eqNullSafe(F.col("__id")), "left_anti")
+    else:
+        own = verdicts.where("node is not null").select("group", "doc_id", "node").distinct()
+        first = own.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node")).alias("m")).select("group", F.col("m.doc_id").alias("__first"), F.col("m.node").alias("__text"))
+        gone = own.join(first, "group").where(~(F.col("doc_id").eqNullSafe(F.col("__first")) & (F.col("node") == F.col("__text"))))
+        gone = gone.select(F.col("doc_id").alias("__id"), F.col("node").alias("__gone"))
+        told = arrow_batches(inner).withColumn("__node", _node(F.col(text).cast("string").cast("binary")))
+        left = told.join(gone, F.col(key).eqNullSafe(F.col("__id")) & (F.col("__node") == F.col("__gone")), "left_anti")
+        alone = F.when(F.col("__node").isNull(), F.monotonically_increasing_id())
+        left = left.withColumn("__alone", alone).dropDuplicates([key, "__node", "__alone"])
     return left.select(*[F.col(n).alias(c) for n, c in zip(names, df.columns)])

@@ -87,6 +87,27 @@ def test_dense_rest_compares_all_rows(spark, monkeypatch):
     assert got == {(a, b) for a in name[:59] for b in name[:59] if a < b and label.get(a, a) != label.get(b, b)}
 
 
+def test_each_group_keeps_one_row(spark):
+    """Ids that are null or shared by different texts decide about their own texts only."""
+    def words(k):
+        return " ".join(f"t{k}x{i}" for i in range(30))
+
+    rows = [
+        (1, words(0)), (None, words(0).upper()), (None, words(1)), (None, words(2)),  # null ids: a copy, two texts of their own
+        (2, words(3)), (3, words(3) + " end"), (3, words(4)),  # id 3: a near copy of 2, and another text
+        (4, words(5)), (4, words(6)), (4, words(6)),  # id 4: two texts, one of them twice
+        (5, words(7)), (5, words(7) + " end"),  # id 5: two texts of one group
+        (None, words(8)), (None, words(8) + " end"), (6, ""), (6, None), (6, " "),
+        (None, words(9)), (7, words(9)),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = dedup.deduplicate(df).collect()
+    worded = sorted((r["text"].split()[0].lower().split("x")[0], r["doc_id"] or 0) for r in got if (r["text"] or "").strip())
+    assert worded == [("t0", 1), ("t1", 0), ("t2", 0), ("t3", 2), ("t4", 3), ("t5", 4), ("t6", 4), ("t7", 5), ("t8", 0), ("t9", 7)]
+    assert sum(r["doc_id"] == 6 for r in got) == 3
+    assert {(r["doc_id"], r["component_id"], r["kept"]) for r in dedup.near_duplicates(df.where("text like 't9%'")).collect()} == {(None, 7, False), (7, 7, True)}
+
+
 def test_odd_rows(odd, empty):
     rows = dedup.near_duplicates(odd).collect()
     assert len(rows) == 8 and {r["component_id"] for r in rows if r["doc_id"] == 5} == {5}
