@@ -39,12 +39,16 @@ PAGES = 1500  # generated training pages
 TAG = re.compile(r"""<(?:!--(?:.*?-->|.*\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z))""", re.S)
 ATTR = re.compile(r"""(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template svg iframe math object select option".split())
+#: Elements whose text is no text of the page.  Those of ``TO_END`` run to the page's end if no end tag follows,
+#: those of ``LOOSE`` end at the first block or list of options; of others without an end tag only the tag is skipped.
+RAW = frozenset("script style textarea title template svg iframe select option".split())
+TO_END, LOOSE = frozenset("script style textarea title".split()), frozenset("svg select option".split())
 #: Elements that start a block of their own; others run on in the block around them.
 BLOCK = frozenset(
     "html body div p article section main header footer nav aside ul ol li dl dt dd h1 h2 h3 h4 h5 h6 table thead tbody tfoot tr td th caption "
     "blockquote pre figure figcaption form fieldset details summary address hgroup search dialog menu center".split()
 )
+LOOSE_END = {t: re.compile(rf"</{t}\s*>|</?(?:{'|'.join(sorted(BLOCK - {'hr'} | ({'select', 'datalist', 'optgroup', 'option'} if t == 'option' else {'select', 'datalist'} if t == 'select' else set())))})(?=[\s/>])", re.I) for t in LOOSE}
 CLOSES_P = BLOCK - {"html", "body"}
 #: An opening tag ends open elements of these kinds, up to the boundary given.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
@@ -138,8 +142,12 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 current = -1
             continue
         if tag in RAW and not attrs.rstrip().endswith("/"):
+            if tag in LOOSE:
+                end = LOOSE_END[tag].search(html, at)
+                at = n if not end else end.end() if end.group().endswith(">") else end.start()
+                continue
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
-            at = end.end() if end else n
+            at = end.end() if end else n if tag in TO_END else at
             continue
         if tag == "br" or tag == "hr":
             if current >= 0:

@@ -206,3 +206,17 @@ def test_page_rows(spark, small):
     assert htmltext.main_text(pages.limit(0)).count() == 0
     deep = "<div>" * 20_000 + "x" + "</div>" * 20_000
     assert isinstance(htmltext.extract(deep, htmltext.potentials()), str)
+
+
+def test_unclosed_elements_lose_no_text():
+    def text(html):
+        return " ".join(t for _, t in htmltext.parse(html)[1])
+
+    story = "<article><p>The whole story.</p></article>"
+    for head in ("<datalist><option value=a><option value=b></datalist>", "<form><select><option>one<option>two</form>", "<svg><path d=x>", "<noscript>", "<object data=x>", "<template>", "<math>"):
+        assert "The whole story." in text(f"<body>{head}{story}</body>"), head
+        assert "The whole story." in text(f"<body>{head}{story}<select><option>x</option></select><svg></svg></body>"), head
+    kept = text("<p>if <math><mi>x</mi></math> holds, <object>a figure</object> and <noscript>a note</noscript> follow</p>")
+    assert kept == "if x holds, a figure and a note follow"
+    gone = text("<p>a<select><option>one</option><option>two</select><svg><text>s</text></svg><script>if (a < b) {}</script>b</p>")
+    assert gone == "ab" and text("<p>a</p><script>never closed <p>b</p>") == "a"
