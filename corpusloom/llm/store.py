@@ -191,11 +191,15 @@ def _references(spark: SparkSession, root: str) -> DataFrame:
 
 
 def digests(spark: SparkSession, root: str) -> DataFrame:
-    """Per document, from the files: doc_id, start, n_tokens, ids_crc32.
+    """Per document, from the files: doc_id, start, n_tokens, ids_crc32.  A recipe or a part that doesn't
+    match its Merkle root stops the job.
 
     Each distinct chunk is read, verified and summed once; what travels to the documents is its checksum,
     not its payload, so a hot chunk costs eight bytes a reference.  AQE splits the references of a hot
     hash in the join."""
+    documents, parts = _damaged_roots(spark, root)
+    if documents or parts:
+        raise ValueError(f"{documents} recipes and {parts} parts are damaged")
     r = recipes(spark, root)
     refs = r.select("doc_id", "start", "n_tokens", F.posexplode("hashes").alias("k", "hash"))
     joined = refs.join(_checked_chunks(spark, root), "hash", "left")
@@ -232,6 +236,12 @@ def read_ids(spark: SparkSession, root: str) -> DataFrame:
 def verify(spark: SparkSession, root: str) -> dict[str, int]:
     """Recomputes every hash of a store and compares: chunks, documents' roots, parts' roots, totals."""
     n_chunks = _checked_chunks(spark, root).count()
+    documents, parts = _damaged_roots(spark, root)
+    return {"chunks": n_chunks, "damaged_documents": documents, "damaged_parts": parts}
+
+
+def _damaged_roots(spark: SparkSession, root: str) -> tuple[int, int]:
+    """Documents and parts whose Merkle roots, recomputed from recipes, aren't those written; needs no payloads."""
 
     @F.udf("binary")
     def root_of(leaves: list) -> bytes:
@@ -243,7 +253,7 @@ def verify(spark: SparkSession, root: str) -> dict[str, int]:
     own = r.groupBy("part").agg(root_of(roots).alias("r"), F.sum("n_tokens").alias("n"))
     m = spark.read.parquet(f"{root}/manifest")
     parts = m.join(own, "part", "left").where(~F.col("r").eqNullSafe(F.col("root")) | ~F.col("n").eqNullSafe(F.col("n_ids"))).count()
-    return {"chunks": n_chunks, "damaged_documents": bad, "damaged_parts": parts}
+    return bad, parts
 
 
 def encode_and_digest(df: DataFrame, root: str | None = None) -> DataFrame:

@@ -97,6 +97,20 @@ def test_damage_is_found(spark, small, tmp_path):
         store.verify(spark, root)
 
 
+def test_swapped_chunks_are_found(spark, tmp_path):
+    """Reordered chunks keep every chunk's hash and the number of ids, not the document's root."""
+    root = f"file://{tmp_path}/s"
+    text = " ".join(f"word{i} of {i * i}" for i in range(2000))
+    store.write(spark.createDataFrame([(1, text), (2, "short")], "doc_id long, text string"), root)
+    rows = spark.read.parquet(f"{root}/recipes")
+    assert rows.agg(F.max(F.size("hashes"))).first()[0] > 1
+    bad = rows.withColumn("hashes", F.reverse("hashes")).withColumn("lens", F.reverse("lens"))
+    bad = spark.createDataFrame(bad.collect(), bad.schema)
+    bad.write.mode("overwrite").parquet(f"{root}/recipes")
+    with pytest.raises(Exception, match="damaged"):
+        store.digests(spark, root).collect()
+
+
 def test_cuts_are_local():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 49_000, 20_000).astype("<u2")
