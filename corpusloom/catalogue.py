@@ -128,7 +128,7 @@ def paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT doc_id, coalesce(lower(lang), '') IN ('en', 'de') OR starts_with(lower(lang), 'zh') AS passes FROM documents WHERE lang IS NOT NULL""")
 def lang_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = QualityConfig(allowed_langs=("en-US", "DE", "zh_cn"))
-    return docs(spark, sf_dir).where("lang is not null").select("doc_id", cleaning.language_passes(cleaning.as_candidate(), cfg).alias("passes"))
+    return docs(spark, sf_dir).select("doc_id", F.coalesce(cleaning.language_passes(cleaning.as_candidate(), cfg), F.lit(False)).alias("passes"))
 
 
 @query("SELECT doc_id, sha1(text) AS fingerprint FROM documents WHERE text IS NOT NULL QUALIFY row_number() OVER (PARTITION BY sha1(text) ORDER BY doc_id) = 1")

@@ -42,3 +42,11 @@ def test_counts_and_funnel(spark):
     assert [r["dropped"] for r in cleaning.funnel(cleaning.stage_counts(x)).orderBy("step").collect()] == [0, 2, 1]
     none = cleaning.stage_counts(cleaning.quality_chain(df.limit(0), cfg)).first()
     assert none["input_lines"] == 0 and none["after_exact_dedup"] == 0
+
+
+def test_no_language_is_a_verdict(spark, tmp_path):
+    from corpusloom import catalogue
+
+    spark.createDataFrame([(1, "a", "en"), (2, "b", None), (3, "c", "fr")], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["passes"] for r in catalogue.QUERIES["lang_filter"](spark, str(tmp_path)).collect()}
+    assert got == {1: True, 2: False, 3: False}
