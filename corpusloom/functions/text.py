@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 #: Unicode white space, spelt out: the engines' own ``\s`` differ.
 WS_CHARS = r"\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 WS = f"[{WS_CHARS}]"
+SPACES = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 WS_NO_LF = WS.replace(r"\x{9}-\x{D}", r"\x{9}\x{B}-\x{D}")
 #: Line ends as Python's ``splitlines`` takes them.
 LINE_END = r"\r\n|[\n\r\x{B}\x{C}\x{1C}-\x{1E}\x{85}\x{2028}\x{2029}]"
@@ -38,13 +39,15 @@ def nfkc(s: pd.Series) -> pd.Series:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def tidy_lines(c: Column) -> Column:
-    """CR and CRLF to LF, every line right-stripped, the whole stripped."""
+    """CR and CRLF to LF, every line right-stripped, the whole stripped.
+
+    A run of white space is looked at from its start alone, so long runs inside a line cost no more than others."""
     lf = F.regexp_replace(c, r"\r\n?", "\n")
-    return strip(F.regexp_replace(lf, f"{WS_NO_LF}+(?=\n)", ""))
+    return strip(F.regexp_replace(lf, f"(?<!{WS_NO_LF}){WS_NO_LF}++(?=\n)", ""))
 
 
 def normalize_text(c: Column, compatibility: bool = True) -> Column:
@@ -62,7 +65,7 @@ def dedupe_paragraphs(c: Column) -> Column:
 
 def punctuation_count(c: Column) -> Column:
     """Code points that are neither letters or numbers nor white space; combining marks count."""
-    return F.length(F.regexp_replace(c, rf"[\p{{L}}\p{{N}}{WS_CHARS}]", ""))
+    return F.regexp_count(c, F.lit(rf"[^\p{{L}}\p{{N}}{WS_CHARS}]"))
 
 
 def ratio(count: Column, c: Column) -> Column:

@@ -44,7 +44,9 @@ def quality_chain(df: DataFrame, cfg: QualityConfig, text: str = "text", languag
     """Adds ``clean`` (null if rejected) and ``reject``, the first failing gate of: empty, length,
     non_printable, punctuation, language, tokens.
 
-    Null text counts as empty.  A gate without its input (language candidates, token count) is off."""
+    Null text counts as empty.  A gate without its input (language candidates, token count) is off; jobs refuse
+    such settings.  The last step is a generator: filters are not pushed through one, and pushed down they would
+    be written out in terms of the text, every measure many times over."""
     out = df.withColumn("__raw", t.as_text(F.col(text)))
     out = out.withColumn("__norm", t.normalize_text(F.col("__raw"), cfg.compatibility))
     out = out.withColumn("__cut", t.length_bounds(F.col("__norm"), cfg.min_chars, cfg.max_chars, cfg.truncate))
@@ -59,8 +61,10 @@ def quality_chain(df: DataFrame, cfg: QualityConfig, text: str = "text", languag
         low = n_tokens < (cfg.min_tokens if cfg.min_tokens is not None else 0)
         high = n_tokens > cfg.max_tokens if cfg.max_tokens is not None else F.lit(False)
         reject = reject.when(low | high, "tokens")
-    out = out.withColumn("reject", reject)
-    return out.withColumn("clean", F.when(F.col("reject").isNull(), cut)).drop("__raw", "__norm", "__cut")
+    told = F.array(F.struct(F.col("__reject").alias("reject"), F.when(F.col("__reject").isNull(), cut).alias("clean")))
+    out = out.withColumn("__reject", reject)
+    names = [F.col(f"`{c}`") for c in df.columns if c not in ("reject", "clean")]
+    return out.select(*names, F.inline(told))
 
 
 def as_candidate(lang: str = "lang") -> Column:
