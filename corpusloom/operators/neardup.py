@@ -107,20 +107,46 @@ def near_dedup(df: DataFrame, cfg: MinHashConfig, text: str = "text", key: str =
     return df.join(greedy_drops(buckets(signatures(df, cfg, text, key), cfg, key), shared, key), key, "left_anti")
 
 
-def pairs_above(df: DataFrame, threshold: float, n: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Pairs of documents of exact shingle Jaccard at or above a threshold, by prefix filtering: shingles
-    in order of rising frequency, and only the first ``size - ceil(t * size) + 1`` of each document join."""
-    shared = Shared(df.sparkSession, "pairs")
-    w = df.select(F.col(key).alias("d"), t.words(F.lower(t.as_text(F.col(text)))).alias("w"))
-    s = w.select("d", F.explode(F.array_distinct(t.shingles(F.col("w"), n))).alias("g"))
+def shingle_sets(df: DataFrame, n: int = 5, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """(key, class_id) of every document with words, and (class_id, s, size, members) of every distinct shingle
+    set; a class is named by its smallest key.  Copies of a text cost one row here and nothing later."""
+    shared = Shared(df.sparkSession, "classes")
+    w = df.select(F.col(key).alias("d"), t.words(F.lower(t.as_text(F.col(text)))).alias("w")).where(F.size("w") > 0)
+    s = shared.write(w.select("d", F.array_sort(F.array_distinct(t.shingles(F.col("w"), n))).alias("s")), "shingles")
+    s = shared.write(s.withColumn("h", F.sha2(F.array_join("s", "\n"), 256)), "sets")
+    named = s.groupBy("h").agg(F.min("d").alias("class_id"), F.count("*").alias("members"))
+    one = s.join(named, "h")
+    sets = one.where(F.col("d") == F.col("class_id")).dropDuplicates(["h"]).select("class_id", "s", F.size("s").alias("size"), "members")
+    return one.select(F.col("d").alias(key), "class_id"), shared.write(sets, "distinct")
+
+
+def pairs_above(sets: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, jaccard), a < b: classes of ``shingle_sets`` whose exact Jaccard is at or above a threshold, by
+    prefix filtering: shingles in order of rising frequency, and only the first ``size - ceil(t * size) + 1``
+    of each set join."""
+    shared = Shared(sets.sparkSession, "pairs")
+    s = sets.select(F.col("class_id").alias("d"), F.explode("s").alias("g"))
     freq = s.groupBy("g").count()
-    sets = s.join(freq, "g").groupBy("d").agg(F.array_sort(F.collect_list(F.struct("count", "g"))).alias("x"))
-    sets = shared.write(sets.select("d", F.transform("x", lambda e: e["g"]).alias("s"), F.size("x").alias("n")), "sets")
-    prefix = sets.select("d", "n", F.explode(F.slice("s", F.lit(1), F.col("n") - F.ceil(threshold * F.col("n")).cast("int") + 1)).alias("g"))
+    own = s.join(freq, "g").groupBy("d").agg(F.array_sort(F.collect_list(F.struct("count", "g"))).alias("x"))  # of one text
+    own = shared.write(own.select("d", F.transform("x", lambda e: e["g"]).alias("s"), F.size("x").alias("n")), "sets")
+    prefix = own.select("d", "n", F.explode(F.slice("s", F.lit(1), F.col("n") - F.ceil(threshold * F.col("n")).cast("int") + 1)).alias("g"))
     a, b = prefix.select(F.col("d").alias("a"), F.col("n").alias("na"), "g"), prefix.select(F.col("d").alias("b"), F.col("n").alias("nb"), "g")
     fair = F.least("na", "nb") >= threshold * F.greatest("na", "nb")
     cand = a.join(b, "g").where((F.col("a") < F.col("b")) & fair).select("a", "b").distinct()
-    both = cand.join(sets.select(F.col("d").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("d").alias("b"), F.col("s").alias("sb")), "b")
+    both = cand.join(own.select(F.col("d").alias("a"), F.col("s").alias("sa")), "a").join(own.select(F.col("d").alias("b"), F.col("s").alias("sb")), "b")
     inter = F.size(F.array_intersect("sa", "sb"))
     j = both.select("a", "b", (inter / (F.size("sa") + F.size("sb") - inter)).alias("jaccard"))
     return j.where(F.col("jaccard") >= threshold)
+
+
+def links_above(df: DataFrame, threshold: float, n: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(key, class_id, n_links) of every document with words: its class and the number of other documents whose
+    exact Jaccard is at or above a threshold.  Links are counted by classes, never listed by documents."""
+    members, sets = shingle_sets(df, n, text, key)
+    pairs = pairs_above(sets, threshold)
+    both = pairs.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(pairs.select(F.col("b").alias("x"), F.col("a").alias("y")))
+    size = sets.select("class_id", "members")
+    far = both.join(size.withColumnRenamed("class_id", "y"), "y").groupBy("x").agg(F.sum("members").alias("far"))
+    per = size.join(far.withColumnRenamed("x", "class_id"), "class_id", "left")
+    per = per.select("class_id", (F.coalesce("far", F.lit(0)) + F.col("members") - 1).cast("long").alias("n_links"))
+    return members.join(per, "class_id").select(key, "class_id", "n_links")

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from corpusloom.sources.tables import Shared
+
 IGNORE = -100
 
 
@@ -60,11 +62,20 @@ def pack(df: DataFrame, ids: str = "input_ids", shard: str = "shard", pos: str =
     """(shard, chunk, input_ids, labels): documents of a shard in order, one separator between two, cut into
     chunks; the last may be short.  Empty documents are skipped.
 
-    A document's place is a running sum of lengths inside its shard; documents are then cut at the chunks
-    they overlap, so no step works token by token or holds a shard in memory."""
-    w = Window.partitionBy("shard").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    A document's place is a running sum of lengths inside its shard: rows go to parts by range of (shard, pos),
+    each part is summed by itself, on top of the totals of the shard's parts before.  Documents are then cut
+    at the chunks they overlap, so no step works token by token or holds a shard in one task."""
+    spark = df.sparkSession
     d = df.select(F.col(shard).alias("shard"), F.col(pos).alias("pos"), F.col(ids).alias("ids")).where(F.size("ids") > 0)
-    d = d.withColumn("at", F.coalesce(F.sum(F.size("ids") + 1).over(w), F.lit(0)))
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # written once: ranges come from a sample, and both readers must see the same ones
+    d = Shared(spark, "packing").write(d.repartitionByRange(parts, "shard", "pos").withColumn("__part", F.spark_partition_id()), "ranged")
+    before = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    totals = d.groupBy("shard", "__part").agg(F.sum(F.size("ids") + 1).alias("n"))
+    # one row per part of a shard
+    bases = totals.select(F.col("shard").alias("__shard"), F.col("__part").alias("__p"), F.coalesce(F.sum("n").over(before("shard").orderBy("__part")), F.lit(0)).alias("__base"))
+    d = d.withColumn("at", F.coalesce(F.sum(F.size("ids") + 1).over(before("shard", "__part").orderBy("pos")), F.lit(0)))
+    d = d.join(bases, F.col("shard").eqNullSafe(F.col("__shard")) & (F.col("__part") == F.col("__p"))).withColumn("at", F.col("at") + F.col("__base"))
     # the separator stands in the slot before every document but the first
     d = d.select("shard", F.when(F.col("at") > 0, F.concat(F.array(F.lit(separator)), "ids")).otherwise(F.col("ids")).alias("ids"), F.when(F.col("at") > 0, F.col("at") - 1).otherwise(0).alias("lo"))
     first, last = chunk_of(F.col("lo"), schedule), chunk_of(F.col("lo") + F.size("ids") - 1, schedule)

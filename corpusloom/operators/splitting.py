@@ -45,7 +45,8 @@ def exact_split(df: DataFrame, pos: str, k: int, seed: int = 42) -> DataFrame:
     """As the replayed generator splits rows with contiguous positions."""
     spark = df.sparkSession
     picks = spark.createDataFrame([(p,) for p in sampled_positions(df.count(), k, seed)], "p long")
-    return df.join(F.broadcast(picks), F.col(pos) == F.col("p"), "left").withColumn("split", F.when(F.col("p").isNotNull(), "val").otherwise("train")).drop("p")
+    # Spark broadcasts the picks only while they are below the session's size limit
+    return df.join(picks, F.col(pos) == F.col("p"), "left").withColumn("split", F.when(F.col("p").isNotNull(), "val").otherwise("train")).drop("p")
 
 
 def conversation_split(df: DataFrame, key: str = "conv_id", conv: str = "conversations", k_tool: int = 1000, k_multi: int = 5000, seed: int = 42) -> DataFrame:

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import random
+from collections import defaultdict
+from itertools import combinations
 
 from corpusloom.operators import neardup
 from corpusloom.operators.neardup import MinHashConfig
@@ -40,4 +42,19 @@ def test_pairs_equal_brute_force(spark, small):
         w = r["text"].lower().split()
         sets[r["doc_id"]] = {" ".join(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {" ".join(w)} if w else set()
     want = {(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b] and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.5}
-    assert {(r["a"], r["b"]) for r in neardup.pairs_above(d, 0.5).collect()} == want
+    members, classes = neardup.shingle_sets(d)
+    own = defaultdict(list)
+    for r in members.collect():
+        own[r["class_id"]].append(r["doc_id"])
+    # pairs of classes and membership hold every link between documents
+    got = {(min(x, y), max(x, y)) for r in neardup.pairs_above(classes, 0.5).collect() for x in own[r["a"]] for y in own[r["b"]]}
+    got |= {p for m in own.values() for p in combinations(sorted(m), 2)}
+    assert got == want
+    links = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in neardup.links_above(d, 0.5).collect()}
+    assert links == {x: (min(y for y in sets if sets[y] == sets[x]), sum(x in p for p in want)) for x in sets if sets[x]}
+
+
+def test_copies_are_counted_and_not_listed(spark):
+    rows = [(i, "one two three four five six seven") for i in range(500)] + [(900 + i, f"one two three four five six seven {i}") for i in range(3)] + [(999, None), (1000, " ")]
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in neardup.links_above(spark.createDataFrame(rows, "doc_id long, text string"), 0.7).collect()}
+    assert len(got) == 503 and all(got[i] == (0, 502) for i in range(500)) and all(got[900 + i] == (900 + i, 500) for i in range(3))

@@ -86,3 +86,33 @@ def test_quota_backfill(spark, n_in, n_out, want):
     df = spark.createDataFrame([(i, i < n_in) for i in range(n_in + n_out)], "id int, s boolean")
     got = splitting.quota_sample(df, "id", F.col("s"), 20, 0.5).collect()
     assert (sum(r["s"] for r in got), sum(not r["s"] for r in got)) == want
+
+
+def test_order_statistics_are_exact_in_rounds(spark):
+    """Ranks among many ties, outliers and spread-out values, with few values ever fetched."""
+    rng = random.Random(6)
+    values = [rng.choice((1.0, 2.5, -7.0)) for _ in range(3000)] + [rng.lognormvariate(0, 9) for _ in range(3000)] + [-1e300, 1e300, 0.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(5)
+    ranks = [0, 1, 2, 700, 2999, 3500, 5200, len(values) - 2, len(values) - 1]
+    want = sorted(values)
+    for few in (20, 700, 50_000):
+        assert stats.order_statistics(df, ranks, few) == [want[r] for r in ranks]
+
+
+def test_packing_does_not_depend_on_the_parts(spark):
+    """A shard that holds nearly all rows, null shards, empty documents, cut into parts in several ways."""
+    rng = random.Random(2)
+    rows = [(i, None if i % 50 == 0 else 0 if i % 7 else 1, [rng.randrange(1, 99) for _ in range(rng.randrange(0, 9))]) for i in range(400)]
+    df = spark.createDataFrame(rows, "pos long, shard int, input_ids array<int>")
+    want = {}
+    for s in (None, 0, 1):
+        flat = []
+        for _, own, ids in rows:
+            if own == s and ids:
+                flat += ([0] if flat else []) + ids
+        want |= {(s, k // 16): flat[k : k + 16] for k in range(0, len(flat), 16)}
+    for n in ("1", "7"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        got = {(r["shard"], r["chunk"]): r["input_ids"] for r in packing.pack(df, schedule=(packing.Stage(16),)).collect()}
+        assert got == want
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
