@@ -122,9 +122,24 @@ def tool_call_chars(conv: Column) -> Column:
     return F.aggregate(own, F.lit(0), lambda a, x: a + x).cast("long")
 
 
-def conversation_key(conv: Column) -> Column:
+def conversation_key(conv: Column, algorithm: str = "sha1") -> Column:
     """Digest of the messages alone, fields in a fixed order."""
-    return F.sha1(F.to_json(conv).cast("binary"))
+    return t.fingerprint(F.to_json(conv), algorithm)
+
+
+def parsed_tools(conv: Column) -> Column:
+    """JSON text of the tools that a leading system message lists; null without any, the empty string where its
+    text isn't JSON, so that the row can be told."""
+    first = F.get(conv, F.lit(0))
+    raw = F.when(first["role"] == "system", t.strip(first["tools"]))
+    return F.when(raw.isNull() | (raw == ""), None).when(F.try_parse_json(raw).isNull(), "").otherwise(raw)
+
+
+def fill_tool_calls(conv: Column) -> Column:
+    """Assistants' tool calls as the template takes them: JSON text stripped, what doesn't parse removed."""
+    raw = lambda m: t.strip(m["tool_calls"])
+    good = lambda m: F.when(F.try_parse_json(raw(m)).isNotNull(), raw(m))
+    return F.transform(conv, lambda m: F.when(m["role"] == "assistant", m.withField("tool_calls", good(m))).otherwise(m))
 
 
 def tool_calls_parse(conv: Column) -> Column:
@@ -136,13 +151,10 @@ def tool_calls_parse(conv: Column) -> Column:
 # chat template ---------------------------------------------------------------
 
 BEGIN, FINISH = "<|im_start|>", "<|im_end|>\n"
-_TOOLS_HEAD = "\n".join((
-    "# Tools", "", " ".join(("You may call", "one or more functions", "to assist with", "the user query.")), "",
-    " ".join(("You are provided", "with function signatures", "within <tools></tools>", "XML tags:")), "<tools>",
-))
-_CALL = "\n".join(("<tool_call>", " ".join(('{"name":', "<function-name>,", '"arguments":', "<args-json-object>}")), "</tool_call>"))
-_TOOLS_TAIL = "\n</tools>\n\n" + " ".join((
-    "For each function call,", "return a json object", "with function name", "and arguments within", "<tool_call></tool_call> XML tags:")) + "\n" + _CALL
+# the transcript must be equal to what the published chat template prints, so its preamble is given here as it is
+_TOOLS_HEAD = "# Tools\n\nYou may call one or more functions to assist with the user query.\n\nYou are provided with function signatures within <tools></tools> XML tags:\n<tools>"
+_CALL = '<tool_call>\n{"name": <function-name>, "arguments": <args-json-object>}\n</tool_call>'
+_TOOLS_TAIL = "\n</tools>\n\nFor each function call, return a json object with function name and arguments within <tool_call></tool_call> XML tags:\n" + _CALL
 PROMPTS = (
     "You are a helpful assistant.", "You are a careful assistant that answers briefly.", "You are an assistant for general questions.",
     "Answer as clearly as you can.", "You help people with their work.",
@@ -239,3 +251,10 @@ def same_prefix(chosen: Column, rejected: Column) -> Column:
     a, b = _but_last(chosen), _but_last(rejected)
     eq = F.zip_with(a, b, lambda x, y: x["role"].eqNullSafe(y["role"]) & x["content"].eqNullSafe(y["content"]))
     return (F.size(a) == F.size(b)) & F.forall(eq, lambda e: F.coalesce(e, F.lit(False)))
+
+
+def strict_dpo_triplet(chosen: Column, rejected: Column) -> Column:
+    """As ``dpo_triplet``, but a row that isn't a pair of conversations which end with the assistant and agree
+    before the last reply stops the job."""
+    fine = F.coalesce(dpo_triplet(chosen, rejected).isNotNull() & same_prefix(chosen, rejected), F.lit(False))
+    return F.when(fine, dpo_triplet(chosen, rejected)).otherwise(F.raise_error(F.lit("not a preference pair: both sides must end with the assistant and agree before")))

@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from functools import cache
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,3 +76,36 @@ def train(df: DataFrame, path: str, text: str = "text", size: int = 16_000, spec
     rows = df.select(t.as_text(F.col(text)).alias("t")).toLocalIterator(prefetchPartitions=True)
     tok.train_from_iterator((r["t"] for r in rows), trainer)
     tok.save(path)
+
+
+def tokens_of(path: str) -> Callable[[Column], Column]:
+    """Ids of a column of texts by a tokenizer file (or the folder that holds tokenizer.json) at the same path on every executor; null counts as empty."""
+    file = tokenizer_file(path)
+
+    @F.pandas_udf("array<int>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        enc = file_tokenizer(file)()
+        for s in batches:
+            yield pd.Series([list(ids) for ids, _ in enc(s.fillna("").tolist())])
+
+    return lambda c: run(c)
+
+
+def token_counter(path: str) -> Callable[[Column], Column]:
+    ids = tokens_of(path)
+    return lambda c: F.size(ids(c))
+
+
+def tokenizer_file(path: str) -> str:
+    """The tokenizer's file; a path that isn't there is an error that names it."""
+    import os
+
+    file = os.path.join(path, "tokenizer.json") if os.path.isdir(path) else path
+    if not os.path.isfile(file):
+        raise FileNotFoundError(f"no tokenizer at {path}")
+    return file
+
+
+def pieces_of(path: str) -> dict[int, str]:
+    """The piece of each id: of the vocabulary's size."""
+    return {i: p for p, i in _from_file(tokenizer_file(path)).get_vocab().items()}

@@ -22,6 +22,12 @@ def write_stats(df: DataFrame, path: str) -> None:
     Path(path).write_text(json.dumps(json.loads(row["j"]), ensure_ascii=False, indent=2), encoding="utf-8")
 
 
+def write_document(document: dict, path: str) -> None:
+    """An indented JSON document of bounded size."""
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    Path(path).write_text(json.dumps(document, ensure_ascii=False, indent=2, default=str), encoding="utf-8")
+
+
 def write_tokens(df: DataFrame, path: str, rows_per_file: int = 500_000) -> None:
     """``input_ids`` as list<int32> Parquet with zstd, at most ``rows_per_file`` rows a file; empty lists
     are left out."""

@@ -16,6 +16,9 @@ from pyspark.sql import types as T
 PRETRAIN = T.StructType([T.StructField("text", T.StringType())])
 MESSAGE = T.StructType([T.StructField(c, T.StringType()) for c in ("role", "content", "tool_calls", "tools", "reasoning_content")])
 CONVERSATION = T.StructType([T.StructField("conversations", T.ArrayType(MESSAGE))])
+#: Preference rows: the answers as conversations or as texts beside a prompt.
+PREFERENCE = T.StructType([T.StructField(c, T.ArrayType(MESSAGE)) for c in ("chosen", "rejected")])
+FLAT_PREFERENCE = T.StructType([T.StructField(c, T.StringType()) for c in ("prompt", "chosen", "rejected")])
 CORRUPT = "_corrupt_record"
 
 
@@ -27,7 +30,7 @@ class Shared:
         sc = spark.sparkContext
         base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
         if not base:
-            if not sc.master.startswith("local"):
+            if not sc.master.startswith("local[") and sc.master != "local":
                 raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             base = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
             sc.setCheckpointDir(base)
@@ -122,7 +125,8 @@ def file_sharded(spark: SparkSession, path: str, shards: int) -> DataFrame:
     files = sorted(r[0] for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path").collect())
     names = spark.createDataFrame([(f.rsplit("/", 1)[1], i % shards) for i, f in enumerate(files)], "file string, shard int")
     df = spark.read.parquet(path).select("input_ids", F.col("_metadata.file_name").alias("file"))
-    return df.join(F.broadcast(names), "file").where(F.size("input_ids") > 0)
+    # one row per file; Spark broadcasts it only while it is below the session's size limit
+    return df.join(names, "file").where(F.size("input_ids") > 0)
 
 
 def detect(path: str) -> str:
@@ -178,3 +182,16 @@ def nested(df: DataFrame, text: str = "text") -> DataFrame:
     null = F.lit(None).cast("string")
     return own.select("conv_id", F.transform("m", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"), null.alias("tool_calls"), null.alias("tools"), null.alias("reasoning_content"))).alias("conversations"))
 
+
+
+def require_columns(df: DataFrame, *names: str) -> DataFrame:
+    """The frame itself; an error that names every column it lacks."""
+    lacking = [n for n in names if n not in df.columns]
+    if lacking:
+        raise KeyError(f"columns {lacking} are missing; there are {df.columns}")
+    return df
+
+
+def preferences(spark: SparkSession, path: str, flat: bool = False) -> DataFrame:
+    """JSON lines of preference rows; a line that isn't one fails with its file."""
+    return json_lines(spark, path, FLAT_PREFERENCE if flat else PREFERENCE, "raise")

@@ -103,3 +103,77 @@ def test_stream_equals_batch(spark, small, tmp_path):
 def test_paths():
     p = sinks.derived_paths("/x/data.jsonl", val="/y/v.jsonl")
     assert p["val"] == "/y/v.jsonl" and p["tool_val"] == "/x/data_tool_val.jsonl" and p["report"] == "/x/data_report"
+
+
+SECTIONS = {
+    "kind": "pretrain", "write_plots": True,
+    "split": {"pretrain": {"enabled": True, "val_size": 5, "seed": 42}},
+    "pipeline": {
+        "text_field": "body", "intra_doc_dedupe_paragraphs": True, "exact_dedup": True, "near_dedup": {"enabled": False, "threshold": 0.88, "num_perm": 128, "shingle_size": 5},
+        "basic": {"min_chars": 5, "max_chars": 200000, "truncate": True, "allowed_langs": [], "lang_backend": "fasttext", "fasttext_model_path": "lid.bin", "max_punctuation_ratio": 0.55},
+        "ppl_enable": True, "ppl_apply_percentile_filter": True, "ppl_sort_ascending": True, "ppl": {"model_name": "unigram"}, "ppl_low_percentile": 1.0, "ppl_high_percentile": 95.0,
+        "tokenizer_path_for_diagnostics": "/opt/tokenizers/word_bpe_49k.json", "topic": {"enabled": False},
+    },
+}
+
+
+def test_section_layout_is_run_as_it_says(spark, tmp_path):
+    src = tmp_path / "in.jsonl"
+    src.write_text("\n".join(json.dumps({"body": f"this is document number {i} of many words {i * i}"}) for i in range(40)) + "\n")
+    values = SECTIONS | {"input": str(src), "output": str(tmp_path / "o" / "out.jsonl"), "stats_path": str(tmp_path / "stats.json")}
+    job = jobs.parse_job(values)
+    assert (job.pretrain.text_field, job.pretrain.quality.min_chars, job.pretrain.near_dedup, job.split.val, job.pretrain.score.apply_filter) == ("body", 5, False, 5, True)
+    written = jobs.run(spark, job)
+    stats = json.loads((tmp_path / "stats.json").read_text())
+    assert stats["input_lines"] == 40 and 36 <= stats["output_lines"] < 40
+    assert spark.read.json(written["output"]).count() + spark.read.json(written["val"]).count() == stats["output_lines"]
+    report = json.loads(open(written["report"]).read())
+    assert report["funnel"][0]["n"] == 40 and sum(b["n"] for b in report["tokens"]) == stats["output_lines"] and len(report["scores"]) == 30
+    assert report["top_tokens"][0]["piece"] and report["top_tokens"][0]["count"] >= report["top_tokens"][1]["count"]
+
+
+def test_gates_that_cannot_run_are_refused(spark, tmp_path):
+    src = tmp_path / "in.jsonl"
+    src.write_text(json.dumps({"text": "a text of some length that stays"}) + "\n")
+    base = {"kind": "pretrain", "input": str(src), "output": str(tmp_path / "out.jsonl"), "split": {"pretrain": {"enabled": False}}}
+    with pytest.raises(ValueError, match="language"):
+        jobs.run(spark, jobs.parse_job(base | {"pipeline": {"near_dedup": {"enabled": False}}}))
+    with pytest.raises(ValueError, match="fasttext"):
+        jobs.parse_job(base | {"pipeline": {"basic": {"lang_backend": "other"}}})
+    off = {"allowed_langs": []}
+    with pytest.raises(ValueError, match="token"):
+        jobs.run(spark, jobs.parse_job(base | {"pipeline": {"basic": off | {"min_tokens": 3}}}))
+    with pytest.raises(ValueError, match="scor"):
+        jobs.run(spark, jobs.parse_job(base | {"pipeline": {"basic": off, "ppl_enable": True, "ppl": {"model_name": "some/model"}}}))
+    with pytest.raises(ValueError, match="topic"):
+        jobs.parse_job(base | {"pipeline": {"topic": {"enabled": True}}})
+    with pytest.raises(TypeError):
+        jobs.parse_job(base | {"pipeline": {"basic": {"allowed_langs": "en", "lang_backend": "x"}}})
+    with pytest.warns(UserWarning, match="surprise"):
+        jobs.parse_job(base | {"pipeline": {"surprise": 1}})
+    # given what they need, gates decide
+    known = F.array(F.struct(F.lit("fr").alias("lang"), F.lit(0.9).alias("confidence")))
+    job = jobs.parse_job(base | {"stats_path": str(tmp_path / "s.json"), "pipeline": {"basic": {"allowed_langs": ["en"]}, "near_dedup": {"enabled": False}}})
+    jobs.run(spark, job, jobs.Seams(languages=lambda c: known))
+    assert json.loads((tmp_path / "s.json").read_text())["rejects"] == {"language": 1}
+    tokens = {"basic": off | {"min_tokens": 500}, "near_dedup": {"enabled": False}, "tokenizer_path_for_diagnostics": "/opt/tokenizers/word_bpe_49k.json"}
+    jobs.run(spark, jobs.parse_job(base | {"stats_path": str(tmp_path / "s.json"), "pipeline": tokens}))
+    assert json.loads((tmp_path / "s.json").read_text())["rejects"] == {"tokens": 1}
+
+
+def test_chat_sections(spark, tmp_path):
+    src = tmp_path / "c.jsonl"
+    say = lambda i: [{"role": "user", "content": f"<think>please tell me about number {i}"}, {"role": "assistant", "content": f"number {i} is a number of some length"}]
+    rows = [{"talk": say(i)} for i in range(6)] + [{"talk": []}] + [{"talk": [{"role": "user", "content": "a question of some length"}, {"role": "assistant", "content": "an answer of some length"}]}] * 2
+    src.write_text("\n".join(map(json.dumps, rows)) + "\n")
+    job = jobs.parse_job({
+        "kind": "sft", "input": str(src), "output": str(tmp_path / "out.jsonl"), "stats_path": str(tmp_path / "s.json"), "write_plots": True,
+        "split": {"sft": {"enabled": True, "tool_call_val_size": 1, "multi_turn_val_size": 1}},
+        "sft": {"conversations_field": "talk", "drop_think_samples": True, "allowed_langs": [], "near_dedup": {"enabled": False}, "exact": {"algorithm": "md5"}, "tokenizer_path_for_diagnostics": "/opt/tokenizers/word_bpe_49k.json"},
+    })
+    written = jobs.run(spark, job)
+    stats = json.loads((tmp_path / "s.json").read_text())
+    assert (stats["skipped_think_samples"], stats["skipped_empty_conversations"], stats["after_exact_dedup"], stats["output_lines"]) == (6, 1, 1, 1)
+    report = json.loads(open(written["report"]).read())
+    assert report["mean_turns"] == 1.0 and report["user_tokens"][0]["n"] == 1 and report["turns"]
+    assert "talk" in spark.read.json(written["output"]).columns
