@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from corpusloom.functions import messages as msg
 from corpusloom.functions import text as t
-from corpusloom.operators import cleaning, neardup, packing, scoring, splitting, stats, tokenizing
+from corpusloom.operators import cleaning, neardup, packing, samples, scoring, splitting, stats, tokenizing
 from corpusloom.operators.cleaning import QualityConfig
 from corpusloom.operators.neardup import MinHashConfig
 from corpusloom.session import table
@@ -26,7 +26,7 @@ def query(sql: str | None = None) -> Callable:
     def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable:
         QUERIES[f.__name__] = f
         if sql:
-            ORACLE_SQL[f.__name__] = sql.replace("@CLEAN", _CLEAN_SQL).replace("@WORDS", _WORDS_SQL).replace("@SHINGLES", _SHINGLES_SQL).replace("@CONV", _CONV_SQL).replace("@IDS", _IDS_SQL).replace("@CHUNKS", _CHUNKS_SQL).replace("@TOKENS", _TOKENS_SQL).replace("@WS", _WS)
+            ORACLE_SQL[f.__name__] = sql.replace("@CLEAN", _CLEAN_SQL).replace("@WORDS", _WORDS_SQL).replace("@SHINGLES", _SHINGLES_SQL).replace("@CONV", _CONV_SQL).replace("@IDS", _IDS_SQL).replace("@CHUNKS", _CHUNKS_SQL).replace("@TOKENS", _TOKENS_SQL).replace("@TOOLS", _TOOLS_SQL).replace("@WS", _WS)
         return f
 
     return add
@@ -58,6 +58,13 @@ _TOKENS_SQL = _TOKENS_SQL.replace("@IDS", _IDS_SQL)
 _CHUNKS_SQL = _CHUNKS_SQL.replace("@TOKENS", _TOKENS_SQL)
 
 
+# conversations with tool turns: every third one calls a tool, and the calls of some need repair or never parse
+_TOOLS_SQL = r"""tc AS (SELECT conv_id, turn * 10 AS turn, role, text, NULL AS calls FROM conversations UNION ALL
+SELECT conv_id, k, role, text, calls FROM (SELECT conv_id, max(turn) * 10 AS t, unnest([1, 2, 3, 4, 5]) AS i FROM conversations GROUP BY conv_id HAVING conv_id % 3 = 0) x,
+LATERAL (SELECT t + i AS k, ['user', 'assistant', 'tool', 'tool', 'assistant'][i] AS role, ['look up ' || conv_id, 'calling', 'result ' || conv_id, 'more', 'found ' || conv_id][i] AS text,
+    CASE WHEN i = 2 THEN CASE WHEN conv_id % 5 = 0 THEN '[{"name": "f", "arguments": {"q": ' || conv_id || '},},]' WHEN conv_id % 7 = 0 THEN 'no calls' ELSE '[{"name": "f", "arguments": {"q": ' || conv_id || '}}]' END END AS calls) y)"""
+
+
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
@@ -66,6 +73,17 @@ def convs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested(table(spark, sf_dir, "conversations"))
 
 
+def tool_convs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations of ``@TOOLS``."""
+    c, i = F.col("conversations"), F.col("conv_id").cast("string")
+    calls = F.when(F.col("conv_id") % 5 == 0, F.concat(F.lit('[{"name": "f", "arguments": {"q": '), i, F.lit("},},]"))).when(F.col("conv_id") % 7 == 0, F.lit("no calls")).otherwise(
+        F.concat(F.lit('[{"name": "f", "arguments": {"q": '), i, F.lit("}}]")))
+    null = F.lit(None).cast("string")
+    turn = lambda role, text, own=null: F.struct(F.lit(role).alias("role"), text.alias("content"), own.alias("tool_calls"), null.alias("tools"), null.alias("reasoning_content"))
+    more = F.array(turn("user", F.concat(F.lit("look up "), i)), turn("assistant", F.lit("calling"), calls), turn("tool", F.concat(F.lit("result "), i)), turn("tool", F.lit("more")), turn("assistant", F.concat(F.lit("found "), i)))
+    return convs(spark, sf_dir).select("conv_id", F.when(F.col("conv_id") % 3 == 0, F.concat(c, more)).otherwise(c).alias("conversations"))
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
@@ -125,7 +143,7 @@ def paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("doc_id", F.sha1("p").alias("digest"), F.when(F.col("p") == "", 0).otherwise(F.size(F.split("p", "\n\n"))).cast("long").alias("n"))
 
 
-@query("""SELECT doc_id, coalesce(lower(lang), '') IN ('en', 'de') OR starts_with(lower(lang), 'zh') AS passes FROM documents WHERE lang IS NOT NULL""")
+@query("""SELECT doc_id, coalesce(lower(lang) IN ('en', 'de') OR starts_with(lower(lang), 'zh'), false) AS passes FROM documents""")
 def lang_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = QualityConfig(allowed_langs=("en-US", "DE", "zh_cn"))
     return docs(spark, sf_dir).select("doc_id", F.coalesce(cleaning.language_passes(cleaning.as_candidate(), cfg), F.lit(False)).alias("passes"))
@@ -218,10 +236,12 @@ def lsh_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""WITH @SHINGLES, g AS (SELECT DISTINCT doc_id, g FROM (SELECT doc_id, unnest(s) AS g FROM s)), z AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
-i AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM g x JOIN g y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL)
-SELECT a, b, c::DOUBLE / (p.n + q.n - c) AS jaccard FROM i JOIN z p ON p.doc_id = a JOIN z q ON q.doc_id = b WHERE c::DOUBLE / (p.n + q.n - c) >= 0.6""")
-def near_dup_pairs_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.pairs_above(docs(spark, sf_dir), 0.6)
+i AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM g x JOIN g y ON x.g = y.g GROUP BY ALL),
+j AS (SELECT a, b, c::DOUBLE / (p.n + q.n - c) AS jaccard FROM i JOIN z p ON p.doc_id = a JOIN z q ON q.doc_id = b)
+SELECT a AS doc_id, min(b) FILTER (jaccard = 1) AS class_id, count(*) FILTER (jaccard >= 0.6) - 1 AS n_links FROM j GROUP BY a""")
+def near_dup_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's class of equal shingle sets and its number of links, copies counted and not listed."""
+    return neardup.links_above(docs(spark, sf_dir), 0.6)
 
 
 @query()
@@ -258,17 +278,10 @@ def score_keep_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.keep_mask(events(spark, sf_dir), "value", 1, 95, F.col("event_type") == "click").select("event_id", "kept")
 
 
-@query("SELECT event_id, row_number() OVER (ORDER BY value, length(event_type), event_id) AS place FROM events WHERE isfinite(value) ORDER BY place LIMIT 500")
+@query("""WITH s AS (SELECT event_id, event_type, coalesce(value, 'nan'::DOUBLE) AS v FROM events)
+SELECT event_id, row_number() OVER (ORDER BY isnan(v), v, length(event_type) NULLS FIRST, event_id) AS place FROM s""")
 def score_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 500 lowest scores in order: a report, planned as a top-k."""
-    head = events(spark, sf_dir).where(stats.finite("value")).orderBy(*scoring.score_order("value", "event_type", "event_id")).limit(500)
-    w = Window.orderBy(*scoring.score_order("value", "event_type", "event_id"))  # at most 500 rows
-    return head.select("event_id", F.row_number().over(w).cast("long").alias("place"))
-
-
-@query()
-def score_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole order, of which ``score_sort`` is the head: the place of every row, non-finite scores in order too."""
+    """The place of every row, infinite scores in order, NaN and null last."""
     return scoring.places(events(spark, sf_dir), "value", "event_type", "event_id").select("event_id", "place")
 
 
@@ -496,3 +509,160 @@ def topk_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / 10).alias("row"), (F.col("vec_id") % 10).alias("idx"), "label", "embedding")
     logits = e.select("row", "idx", F.posexplode(F.slice("embedding", 1, 10)).alias("token", "logit")).withColumn("logit", F.col("logit").cast("double"))
     return stats.top1_accuracy(e.select("row", "idx", "label"), logits).withColumn("entropy", F.round("entropy", 6))
+
+
+# conversations with tools -------------------------------------------------------------------
+
+_FIXED_SQL = "CASE WHEN calls = 'no calls' THEN NULL ELSE replace(calls, '},},]', '}}]') END"
+_CHAIN_SQL = "^s?(ua|uTt+[aT])+$"
+
+
+@query(rf"""WITH @TOOLS, l AS (SELECT conv_id, string_agg(CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN CASE WHEN {_FIXED_SQL} IS NOT NULL THEN 'T' ELSE 'a' END WHEN 'tool' THEN 't' ELSE 'x' END, '' ORDER BY turn) AS s FROM tc GROUP BY conv_id),
+k AS (SELECT conv_id, s, length(regexp_extract(s, '^s?(?:ua|uTt+[aT])*')) AS k FROM l), r AS (SELECT *, substr(s, k + 1) AS r FROM k)
+SELECT conv_id, s AS letters, CASE WHEN s LIKE 's%' AND NOT s LIKE 'su%' THEN 'after_system_expect_user' WHEN regexp_matches(s, '{_CHAIN_SQL}') THEN NULL WHEN NOT starts_with(r, 'u') THEN 'expect_user_at_' || k
+    WHEN NOT regexp_matches(r, '^u[aT]') THEN 'expect_assistant_at_' || (k + 1) WHEN NOT regexp_matches(r, '^uTt') THEN 'tool_calls_without_tool_messages' ELSE 'expect_assistant_after_tool' END AS reason FROM r""")
+def tool_role_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Role chains with tool turns, after repair of the calls."""
+    x = tool_convs(spark, sf_dir).select("conv_id", msg.repair_tool_calls(F.col("conversations")).alias("c"))
+    return x.select("conv_id", msg.role_letters(F.col("c")).alias("letters"), msg.role_chain_reason(F.col("c")).alias("reason"))
+
+
+@query(f"""WITH @TOOLS SELECT conv_id, count(calls) AS calls, count({_FIXED_SQL}) AS repaired, coalesce(sum(length({_FIXED_SQL})), 0)::BIGINT AS call_chars, bool_and(calls IS NULL OR calls LIKE '%}}}}]') AS parse,
+    bool_or(role = 'tool') AS tool_related, coalesce(sha1(string_agg(CASE WHEN calls LIKE '%}}}}]' THEN calls END, '' ORDER BY turn)), sha1('')) AS filled FROM tc GROUP BY conv_id""")
+def tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls per conversation: given, repaired, their length, whether all parse as given, what a strict reader keeps."""
+    c, f = F.col("conversations"), F.col("f")
+    n = lambda x: F.size(F.filter(x, lambda m: m["tool_calls"].isNotNull())).cast("long")
+    x = tool_convs(spark, sf_dir).withColumn("f", msg.repair_tool_calls(c)).withColumn("k", msg.fill_tool_calls(c))
+    kept = F.array_join(F.transform("k", lambda m: F.coalesce(m["tool_calls"], F.lit(""))), "")
+    return x.select("conv_id", n(c).alias("calls"), n(f).alias("repaired"), msg.tool_call_chars(f).alias("call_chars"), msg.tool_calls_parse(c).alias("parse"), msg.is_tool_related(c).alias("tool_related"), F.sha1(kept).alias("filled"))
+
+
+_TOOL_RENDER_SQL = rf"""string_agg(CASE WHEN role IN ('system', 'user') THEN '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10)
+    WHEN role = 'assistant' THEN '<|im_start|>assistant' || chr(10) || ltrim(text, chr(10)) || coalesce(chr(10) || '<tool_call>' || chr(10) || '{{"name": "f", "arguments": {{"q":' || nullif(fixed, '') || '}}}}' || chr(10) || '</tool_call>', '') || '<|im_end|>' || chr(10)
+    WHEN role = 'tool' THEN CASE WHEN first THEN '<|im_start|>user' ELSE '' END || chr(10) || '<tool_response>' || chr(10) || text || chr(10) || '</tool_response>' || CASE WHEN last THEN '<|im_end|>' || chr(10) ELSE '' END ELSE '' END, '' ORDER BY turn)"""
+_TOOL_TURNS_SQL = "tt AS (SELECT *, coalesce(lag(role) OVER w, '') <> 'tool' AS first, coalesce(lead(role) OVER w, '') <> 'tool' AS last, CASE WHEN calls LIKE '[%' THEN conv_id::VARCHAR END AS fixed FROM tc WINDOW w AS (PARTITION BY conv_id ORDER BY turn))"
+
+
+@query(f"WITH @TOOLS, {_TOOL_TURNS_SQL} SELECT conv_id, sha1({_TOOL_RENDER_SQL}) AS digest FROM tt GROUP BY conv_id")
+def tool_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transcripts with calls and runs of tool answers."""
+    x = tool_convs(spark, sf_dir).select("conv_id", msg.repair_tool_calls(F.col("conversations")).alias("c"))
+    return x.select("conv_id", F.sha1(msg.render(F.col("c"))).alias("digest"))
+
+
+@query("""WITH @TOOLS, c AS (SELECT conv_id, bool_or(role = 'tool') AS tool, count(*) FILTER (role = 'user') >= 2 AS multi FROM tc GROUP BY conv_id),
+a AS (SELECT *, tool AND row_number() OVER (PARTITION BY tool ORDER BY md5('42|' || conv_id), conv_id) <= 10 AS t FROM c),
+b AS (SELECT *, NOT t AND multi AND row_number() OVER (PARTITION BY t, multi ORDER BY md5('43|' || conv_id), conv_id) <= 20 AS m FROM a)
+SELECT conv_id, CASE WHEN t THEN 'tool_val' WHEN m THEN 'multi_turn_val' ELSE 'train' END AS split FROM b""")
+def tool_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splitting.conversation_split(tool_convs(spark, sf_dir), k_tool=10, k_multi=20).select("conv_id", "split")
+
+
+@query("""WITH r AS (SELECT conv_id, string_agg(CASE WHEN role IN ('system', 'user') THEN '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) WHEN role = 'assistant' THEN '<|im_start|>assistant' || chr(10) || ltrim(text, chr(10)) || '<|im_end|>' || chr(10) ELSE '' END, '' ORDER BY turn) AS x,
+    sum(CASE WHEN role = 'assistant' THEN length(ltrim(text, chr(10))) + 10 ELSE 0 END)::BIGINT AS k FROM conversations GROUP BY conv_id),
+s AS (SELECT conv_id, x, k, CASE WHEN length(x) > 2000 THEN 'long' WHEN k = 0 THEN 'no_supervision' ELSE 'emitted' END AS status FROM r)
+SELECT conv_id, status, CASE WHEN status = 'emitted' THEN length(x) END AS n, CASE WHEN status = 'emitted' THEN k END AS supervised FROM s""")
+def sft_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as a supervised sample, code points as tokens; lengths, labels and what is skipped."""
+    x = samples.sft_samples(convs(spark, sf_dir), "conv_id", samples.characters, 2000, ratio=0.0)
+    return x.select("conv_id", "status", F.size("input_ids").cast("long").alias("n"), F.size(F.filter("labels", lambda v: v != packing.IGNORE)).cast("long").alias("supervised")).withColumns(
+        {k: F.when(F.col("status") == "emitted", F.col(k)) for k in ("n", "supervised")})
+
+
+@query("""WITH r AS (SELECT conv_id, sum(CASE WHEN role = 'assistant' THEN length(ltrim(text, chr(10))) + 33 WHEN role IN ('system', 'user') THEN length(role) + length(text) + 24 ELSE 0 END) AS n, bool_or(role = 'assistant') AS a FROM conversations GROUP BY conv_id)
+SELECT conv_id % 3 AS shard, count(*) AS "rows", 0::BIGINT AS empty, 0::BIGINT AS tools, count(*) FILTER (n > 2000) AS long, count(*) FILTER (n <= 2000 AND NOT a) AS no_supervision, count(*) FILTER (n <= 2000 AND a) AS emitted FROM r GROUP BY 1""")
+def shard_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of three readers of the samples emits and skips."""
+    x = samples.sft_samples(convs(spark, sf_dir), "conv_id", samples.characters, 2000, ratio=0.0)
+    return samples.shard_report(x, "conv_id", 3)
+
+
+@query("""SELECT conv_id, coalesce(bool_or(contains(text, 'the ') OR contains(text, 'en')), false) AS think, coalesce(bool_or(role = 'assistant' AND regexp_matches(lower(text), 'as an ai|i cannot answer|the ')), false) AS refused FROM conversations GROUP BY conv_id""")
+def conversation_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Markers anywhere in a conversation; refusals, with an extra phrase, in assistants' replies."""
+    c = F.col("conversations")
+    return convs(spark, sf_dir).select("conv_id", F.coalesce(msg.has_think(c, ["the ", "en", ""]), F.lit(False)).alias("think"), F.coalesce(msg.is_refusal(c, ["the "]), F.lit(False)).alias("refused"))
+
+
+@query("""WITH m AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations),
+p AS (SELECT a.conv_id, a.n AS na, b.n AS nb, count(*) FILTER (a.k < a.n AND a.role = b.role AND a.text = b.text) AS same FROM m a JOIN m b ON b.conv_id = a.conv_id - a.conv_id % 2 AND b.k = a.k GROUP BY ALL)
+SELECT conv_id, na = nb AND same = na - 1 AS same_prefix FROM p""")
+def same_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation against that of the even id at or below its own, where there is one."""
+    x = convs(spark, sf_dir)
+    y = x.select(F.col("conv_id").alias("other"), F.col("conversations").alias("o"))
+    return x.join(y, F.col("conv_id") - F.col("conv_id") % 2 == F.col("other")).select("conv_id", msg.same_prefix(F.col("conversations"), F.col("o")).alias("same_prefix"))
+
+
+# diagnostics ---------------------------------------------------------------------------------
+
+
+@query("WITH @WORDS, tw AS (SELECT len(w) AS n FROM w), " + _HIST_SQL.format(v="n", t="tw", n=20)[5:])
+def token_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.equal_width_histogram(docs(spark, sf_dir).select(F.size(t.words(t.as_text(F.col("text")))).alias("v")), "v", 20)
+
+
+_ROLE_HIST_SQL = " UNION ALL ".join(
+    f"SELECT '{r}' AS role, * FROM (WITH rl AS (SELECT len(list_filter(regexp_split_to_array(text, '[@WS]+'), lambda x: x <> '')) AS n FROM conversations WHERE role = '{r}' AND regexp_replace(text, '[@WS]', '', 'g') <> ''), " + _HIST_SQL.format(v="n", t="rl", n=20)[5:] + ")"
+    for r in ("user", "assistant"))
+
+
+@query(_ROLE_HIST_SQL)
+def message_length_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = stats.messages_long(convs(spark, sf_dir)).withColumn("v", F.size(t.words(F.col("content"))))
+    both = [stats.equal_width_histogram(said.where(F.col("role") == r), "v", 20).select(F.lit(r).alias("role"), "*") for r in ("user", "assistant")]
+    return both[0].unionByName(both[1])
+
+
+@query(f"WITH @TOOLS, tj AS (SELECT conv_id, coalesce(sum(length({_FIXED_SQL})), 0) AS n FROM tc GROUP BY conv_id), " + _HIST_SQL.format(v="n", t="tj", n=20)[5:])
+def tool_call_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.equal_width_histogram(tool_convs(spark, sf_dir).select(msg.tool_call_chars(msg.repair_tool_calls(F.col("conversations"))).alias("v")), "v", 20)
+
+
+@query("SELECT avg(n) AS mean_turns, max(n) AS most_turns FROM (SELECT count(*) FILTER (role = 'user') AS n FROM conversations GROUP BY conv_id)")
+def mean_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convs(spark, sf_dir).select(msg.count_turns(F.col("conversations")).alias("n")).agg(F.avg("n").alias("mean_turns"), F.max("n").alias("most_turns"))
+
+
+@query("""WITH @IDS, n AS (SELECT unnest(ids) AS id FROM ids), k AS (SELECT id, count(*) AS count FROM n GROUP BY id) SELECT id, count, 'piece ' || id AS piece FROM k ORDER BY count DESC, id LIMIT 40""")
+def top_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most frequent ids with their pieces: a report of forty."""
+    x = docs(spark, sf_dir).select(tokenizing.hashed_words(F.col("text")).alias("ids"))
+    return stats.top_ids(x, {i: f"piece {i}" for i in range(1, (1 << 15) + 1)})
+
+
+@query("""WITH b AS (SELECT quantile_cont(value, 0.01) AS lo, quantile_cont(value, 0.95) AS hi FROM events WHERE isfinite(value))
+SELECT count(*) FILTER (NOT coalesce(isfinite(value) AND value BETWEEN lo AND hi, false)) AS would_remove FROM events CROSS JOIN b""")
+def would_remove(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.would_remove(scoring.keep_mask(events(spark, sf_dir), "value", 1, 95))
+
+
+@query("""WITH @IDS SELECT doc_id % 3 AS shard, count(*) AS n, sum(len(ids))::BIGINT AS tokens FROM ids GROUP BY 1""")
+def token_row_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token rows of each of three readers; rows without tokens take a place and aren't read."""
+    from corpusloom.sources.tables import row_shard
+
+    x = docs(spark, sf_dir).select("doc_id", tokenizing.hashed_words(F.col("text")).alias("input_ids"))
+    parts = [row_shard(x, "doc_id", k, 3).agg(F.count("*").alias("n"), F.sum(F.size("input_ids")).alias("tokens")).select(F.lit(k).cast("long").alias("shard"), "n", "tokens") for k in range(3)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("SELECT avg(CASE WHEN event_id % 3 = 1 THEN 0 ELSE 1 END) AS rate, count(*) AS n FROM events")
+def json_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of rows whose first balanced object is JSON: one in three is broken."""
+    x = events(spark, sf_dir).select(F.concat(F.lit("so: "), F.when(F.col("event_id") % 3 == 1, F.lit('{"id" "x"}')).otherwise(F.concat(F.lit('{"id": {"n": '), F.col("event_id"), F.lit("}}"))), F.lit(" }")).alias("t"))
+    return stats.json_parse_rate(x, "t")
+
+
+@query(r"""WITH @TOOLS, l AS (SELECT conv_id, string_agg(CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN CASE WHEN calls LIKE '[%' THEN 'T' ELSE 'a' END WHEN 'tool' THEN 't' ELSE 'x' END, '' ORDER BY turn) AS s,
+    string_agg(text, chr(10) ORDER BY turn) AS x FROM tc GROUP BY conv_id)
+SELECT count(*) AS input_lines, count(*) FILTER (NOT regexp_matches(s, '^s?(ua|uTt+[aT])+$')) AS skipped_role_order, count(*) FILTER (regexp_matches(s, '^s?(ua|uTt+[aT])+$')) AS after_basic_clean, count(*) FILTER (s LIKE '%T%') AS tool_calls_repaired,
+    (SELECT count(DISTINCT x) FROM l WHERE regexp_matches(s, '^s?(ua|uTt+[aT])+$')) AS after_exact_dedup FROM l""")
+def conversation_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversation job's counters, strict roles, over conversations with tools."""
+    from corpusloom.plans import jobs
+
+    cfg = jobs.ChatConfig(quality=QualityConfig(min_chars=1, max_non_printable=1.0, max_punctuation=1.0), strict_roles=True, filter_refusals=False, near_dedup=False)
+    _, counts = jobs.chat(tool_convs(spark, sf_dir), cfg, pos="conv_id")
+    return counts.select("input_lines", "skipped_role_order", "after_basic_clean", "tool_calls_repaired", "after_exact_dedup")
