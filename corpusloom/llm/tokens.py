@@ -1,8 +1,9 @@
 """Exact token counts, of whole texts and of every prefix.
 
-The counting unit is the piece of a text between two spaces.  The word BPE drops white space, never
-merges across it and normalises each side of it on its own, so a piece's ids do not depend on what is
-around it; they are computed once per distinct piece and kept in a bounded cache.
+The counting unit is the piece of a text between two spaces, tabs or line ends.  The word BPE drops white
+space, never merges across it and normalises each side of it on its own, so a piece's ids do not depend on
+what is around it; they are computed once per distinct piece and kept in a cache bounded in pieces and in
+their length.
 
 Prefix dynamic programming.  For BPE the last token of a prefix decides the prefix's count:
 ``count[i] = count[i - len(t)] + 1`` for the one token t that ends at i and forms a valid pair with the
@@ -12,8 +13,15 @@ run side by side, since a token at the end of a word carries the end-of-word mar
 Stored are the differences between neighbouring prefixes, one signed byte per code point, so any
 truncation or budget question is a running sum over the store and never encodes again.
 
-The total of each pre-token is also taken from the library, as a check; a piece for which both differ, or
-whose normalisation is not one code point to one, is counted by the library at each prefix.
+Pieces are cut at the pre-tokenizer's own boundaries.  Where normalisation is not one code point to one, or
+a special string or a contraction is cut by a prefix, ``Walk`` takes the same steps code point by code
+point, so time and memory stay in proportion to a piece's length whatever it holds.  The totals are also taken
+from the library, as a check; where both differ, the library counts each prefix.
+
+Defined results: null text counts as empty, with no tokens and an empty store; rows are counted one by one,
+so repeated rows and ids, null ids and ties need no order; an empty table gives an empty result; very long
+texts and pieces are counted whole.  Other columns are ignored by ``token_counts`` and pass through
+``prefix_token_counts``, where a column of the name of a new one gives way to it.
 """
 
 from __future__ import annotations
@@ -35,10 +43,16 @@ from corpusloom.llm.common import arrow_batches
 
 BUDGET = 2048
 CACHE_PIECES = 700_000
-#: Printable ASCII without apostrophes: lower-casing and cutting need no look at Unicode.
-SIMPLE = re.compile(r"[\x21-\x26\x28-\x7e]*")
-MARKS = re.compile(r"([^\w\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+) ")
-SEGMENT = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
+#: Longer pieces are rare and rarely repeat; they are not kept beyond their batch.
+LONG_PIECE = 200
+#: Printable ASCII: lower-casing and cutting need no look at Unicode.
+SIMPLE = re.compile(r"[\x21-\x7e]*")
+CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
+SEGMENT = re.compile("|".join(CONTRACTIONS) + r"|[a-z]+|[0-9]|[^a-z0-9]+")
+#: ASCII marks that end a word without a look at what follows.
+FINAL_MARKS = frozenset("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
+#: White space to the tokenizer; Python's own notion holds four controls more.
+SPACE = frozenset("\t\n\x0b\x0c\r \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000") | {chr(c) for c in range(0x2000, 0x200B)}
 #: Start of a prefix store of 32-bit differences.
 WIDE = b"\x04wide"
 
@@ -80,6 +94,8 @@ class Pieces:
         self.deltas: dict[str, bytes] = {"": b""}
         self.prefix = PrefixTable(spec["model"])
         self.wide: set[str] = set()
+        self.special = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")") if self.specials else None
+        self.heads = {c: self._head(c) for c in CONTRACTIONS}
 
     @classmethod
     def get(cls, path: str) -> "Pieces":
@@ -90,28 +106,33 @@ class Pieces:
 
     @staticmethod
     def split(text: str) -> list[str]:
-        """Pieces between spaces.  Latin-1 text is lower-cased first, which there maps code points one to
-        one and can't meet a combining mark, so fewer distinct pieces are left; a text that may hold a
-        special string keeps its case."""
+        """Pieces between spaces, tabs and line ends, one for each and one more.  Latin-1 text is lower-cased
+        first, which there maps code points one to one and can't meet a combining mark, so fewer distinct pieces
+        are left; a text that may hold a special string keeps its case."""
         if "<|" not in text:
             try:
                 text.encode("latin-1")
                 text = text.lower()
             except UnicodeEncodeError:
                 pass
-        return text.replace("\n", " ").split(" ")
+        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
     def _kind(self, c: str) -> tuple[str, str]:
-        """Class and lower case of a code point; class '' if it can't be handled alone."""
+        """Class (letter, number, other) and lower case of a code point; class '' if it can't be handled alone."""
         low, k = c.lower(), unicodedata.category(c)
-        odd = len(low) != 1 or k[0] in "MZC" or c.isspace() or "\u1100" <= c <= "\u11ff" or unicodedata.normalize("NFC", c) != c
+        odd = len(low) != 1 or k[0] in "MZC" or c in SPACE or "\u1100" <= c <= "\u11ff" or unicodedata.normalize("NFC", c) != c
         self.kinds[c] = out = ("" if odd else k[0] if k[0] in "LN" else "S", low)
         return out
 
+    def _head(self, contraction: str) -> list[int]:
+        """Token counts of a contraction's prefixes: an apostrophe, letters after it, and the whole."""
+        parts = [["'", contraction[1:k]] if k > 1 else ["'"] for k in range(1, len(contraction))] + [[contraction]]
+        return [sum(len(x) // 2 for x in self.bulk(p)) for p in parts]
+
     def cut(self, piece: str) -> list[str] | None:
         """Lower-case pre-tokens of a piece, each code point in one of them; None: not to be cut here."""
         if SIMPLE.fullmatch(piece):
-            return SEGMENT.findall(piece.lower()) if "<|" not in piece else None
+            return SEGMENT.findall(piece.lower()) if "<|" not in piece or not self.special.search(piece) else None
         if "'" in piece or "<|" in piece:
             return None
         kinds, out, before = self.kinds, [], ""
@@ -157,56 +178,60 @@ class Pieces:
             known[""] = b""
         return list(new)
 
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        """As ``split``, with a run of marks that ends a piece made a piece of its own: after a letter or a
-        number such a run is a pre-token, and elsewhere the cut falls on white space.  An underscore is a mark
-        to the tokenizer but not to the pattern, so texts with one are left as they are."""
-        if "<|" not in text:
-            try:
-                text.encode("latin-1")
-                text = text.lower()
-            except UnicodeEncodeError:
-                pass
-            text = text.replace("\n", " ")
-            if "_" not in text:
-                text = MARKS.sub(r" \1 ", text)
-            return text.split(" ")
-        return text.replace("\n", " ").split(" ")
+    def _forget(self, known: dict[str, bytes], new: list[str]) -> None:
+        if max(map(len, new), default=0) > LONG_PIECE:
+            for p in new:
+                if len(p) > LONG_PIECE:
+                    known.pop(p, None)
+                    self.wide.discard(p)
 
     def id_bytes(self, texts: list[str], dtype: str = "<u2") -> list[bytes]:
         """The ids of each text, little-endian."""
-        split = [self.pieces(t) for t in texts]
+        split = [self.split(t) for t in texts]
         ids = self.ids
-        words, cuts = set(), []
-        for p in self._new(ids, split):
-            if p.isascii() and p.isalpha() and p.islower():
-                words.add(p)
-                continue
+        words, cuts, odd = set(), [], []
+        new = self._new(ids, split)
+        for p in new:
+            if p.isalpha():
+                if p.islower() and (p.isascii() or max(p) < "\u0100"):
+                    words.add(p)
+                    continue
+            elif p[-1] in FINAL_MARKS:
+                w = p[:-1]
+                if w.isalpha() and w.islower() and (w.isascii() or max(w) < "\u0100"):
+                    words.add(w)
+                    words.add(p[-1])
+                    cuts.append((p, (w, p[-1])))
+                    continue
             c = self.cut(p)
             if c is None:
-                ids[p] = np.asarray(self.encode([p])[0], dtype).tobytes()
+                odd.append(p)
             else:
                 cuts.append((p, c))
+                words.update(c)
         # a pre-token is a piece too, so both share the cache
-        for _, c in cuts:
-            words.update(c)
-        new = list(words.difference(ids))
-        ids.update(zip(new, self.bulk(new, dtype)))
+        unknown = list(words.difference(ids))
+        ids.update(zip(unknown, self.bulk(unknown, dtype)))
         get = ids.__getitem__
         for p, c in cuts:
             if len(c) != 1 or c[0] != p:
                 ids[p] = b"".join(map(get, c))
-        return [b"".join(map(get, s)) for s in split]
+        for p, e in zip(odd, self.encode(odd)):
+            ids[p] = np.asarray(e, dtype).tobytes()
+        out = [b"".join(map(get, s)) for s in split]
+        self._forget(ids, new)
+        self._forget(ids, unknown)
+        return out
 
-    def _learn_deltas(self, split: list[list[str]]) -> None:
-        cuts, odd = [], []
-        for p in self._new(self.deltas, split):
+    def _learn_deltas(self, split: list[list[str]]) -> list[str]:
+        cuts, odd, doubted = [], [], set()
+        new = self._new(self.deltas, split)
+        for p in new:
             c = self.cut(p)
             odd.append(p) if c is None else cuts.append((p, c))
-        words = sorted({w for _, c in cuts for w in c})
+        words = sorted({w for _, c in cuts for w in c}.difference(self.heads))
         table = dict(zip(words, self.prefix.all_counts([self.symbols(w) for w in words])))
-        short: dict[str, list[int]] = {}
+        short: dict[str, list[int]] = dict(self.heads)
         for w, i in zip(words, self.bulk(words)):
             c = table[w]
             if not w.isascii():  # counts at code points' ends
@@ -219,15 +244,22 @@ class Pieces:
             for w in c:
                 n = short.get(w)
                 if n is None:
-                    odd.append(p)
+                    doubted.add(p)
                     break
                 out.append(n[0])
                 out.extend(map(int.__sub__, n[1:], n))
             else:
                 self._store(p, out)
-        for p in odd:
+        for p, e in zip(odd, self.encode(odd)):
+            n = Walk(self).counts(p)
+            if n[-1] == len(e):
+                self._store(p, np.diff(n, prepend=0).tolist())
+            else:
+                doubted.add(p)
+        for p in doubted:
             n = [len(e) for e in self.encode([p[:k] for k in range(1, len(p) + 1)])]
             self._store(p, [b - a for a, b in zip([0, *n], n)])
+        return new
 
     def _store(self, piece: str, deltas: list[int]) -> None:
         try:
@@ -242,7 +274,7 @@ class Pieces:
         """For each text, the change of its token count from each prefix to the next, a signed byte each
         (see ``unpack`` for the rare wider form)."""
         split = [self.split(t) for t in texts]
-        self._learn_deltas(split)
+        new = self._learn_deltas(split)
         get = self.deltas.__getitem__
         out = []
         for s in split:
@@ -252,6 +284,7 @@ class Pieces:
                 out.append(WIDE + np.concatenate(arrays).astype("<i4").tobytes())
             else:
                 out.append(b"\x00".join(map(get, s)))
+        self._forget(self.deltas, new)
         return out
 
 
@@ -348,12 +381,134 @@ class PrefixTable:
             result.append(out[:])
         return result
 
+    def extend(self, run: "Run") -> None:
+        """The states of a pre-token given symbol by symbol, after one more symbol."""
+        e, found, closed = len(run.symbols), None, False
+        for j in range(max(0, e - self.longest), e):
+            t = "".join(run.symbols[j:e])
+            if not closed and t in self.final and self._known(self.pair_end, run.last[j], t, True):
+                run.out.append(run.n[j] + 1)
+                closed = True
+            if not found and t in self.inner and self._known(self.pair, run.last[j], t, False):
+                found = (t, run.n[j] + 1)
+            if closed and found:
+                break
+        run.last.append(found[0])
+        run.n.append(found[1])
+
+    def _known(self, table: dict[tuple[str, str], bool], left: str, right: str, end: bool) -> bool:
+        ok = table.get((left, right))
+        if ok is None:
+            ok = table[left, right] = self._fits(left, right, end)
+        return ok
+
+
+class Run:
+    """A pre-token in the making: its symbols and, after each, the last open token, its number and the count of the
+    pre-token if it ended there."""
+
+    def __init__(self) -> None:
+        self.symbols: list[str] = []
+        self.last, self.n, self.out = [""], [0], []
+
+    def cut(self, size: int) -> None:
+        del self.symbols[size:], self.last[size + 1 :], self.n[size + 1 :], self.out[size:]
+
+
+class Walk:
+    """Token counts at each prefix of a piece of any kind, code point by code point.
+
+    A prefix may end inside a character that is composed of several code points, inside a contraction or
+    inside a special string; what was counted there is taken back when the next code point changes it."""
+
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+        self._open("")
+
+    def _open(self, kind: str, done: int = 0) -> None:
+        # kind: of the pre-token in the making; lead: apostrophe and letter that may become a contraction
+        self.done, self.kind, self.run, self.lead = done, kind, Run(), ""
+
+    def count(self) -> int:
+        return self.done + (self.run.out[-1] if self.run.out else 0)
+
+    def _state(self) -> tuple:
+        return self.done, self.kind, self.run, self.lead, len(self.run.symbols)
+
+    def _back(self, state: tuple) -> None:
+        self.done, self.kind, self.run, self.lead, size = state
+        self.run.cut(size)
+
+    def _add(self, c: str) -> None:
+        for x in c.encode().decode("latin-1").translate(self.pieces.alphabet):
+            self.run.symbols.append(x)
+            self.pieces.prefix.extend(self.run)
+
+    def push(self, c: str) -> None:
+        """One code point of normalised text."""
+        k = unicodedata.category(c)[0]
+        k = "W" if c in SPACE else k if k in "LN" else "S"
+        if k == "L" and self.kind == "S" and self.run.symbols == ["'"] and c in "stmdrvl":
+            if c in "stmd":
+                self._add(c)
+                self.kind = "C"
+                return
+            self._open("L", self.count())
+            self._add(c)
+            self.lead = "'" + c
+            return
+        if self.lead and self.lead + c in CONTRACTIONS:
+            whole, done = self.lead + c, self.done - self.pieces.heads[self.lead + c][0]
+            self._open("C", done)
+            for x in whole:
+                self._add(x)
+            return
+        if k != self.kind or k == "N":
+            self._open(k, self.count())
+        self.lead = ""
+        if k != "W":
+            self._add(c)
+
+    def _plain(self, text: str) -> list[int]:
+        """Counts at the prefixes of a text whose special strings, if any, are taken as ordinary text."""
+        out, at = [], 0
+        while at < len(text):
+            end = at + 1
+            while end < len(text) and (unicodedata.category(text[end])[0] == "M" or "\u1160" <= text[end] <= "\u11ff"):
+                end += 1
+            states, before = [self._state()], ""
+            for k in range(at + 1, end + 1):
+                now = "".join(c.lower() for c in unicodedata.normalize("NFC", text[at:k]))
+                same = len(os.path.commonprefix((before, now)))
+                self._back(states[same])
+                del states[same + 1 :]
+                for c in now[same:]:
+                    self.push(c)
+                    states.append(self._state())
+                out.append(self.count())
+                before = now
+            at = end
+        return out
+
+    def counts(self, piece: str) -> list[int]:
+        special = self.pieces.special
+        parts = special.split(piece) if special else [piece]
+        out: list[int] = []
+        for text, mark in zip(parts[::2], [*parts[1::2], ""]):
+            base = out[-1] if out else 0
+            self._open("")
+            own = self._plain(text + mark)
+            if mark:
+                own[-1] = (own[len(text) - 1] if text else 0) + 1
+            out += [base + n for n in own]
+        return out
+
 
 def prefix_token_counts(df: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
     """Adds ``n_tokens`` (exact, of the whole text; null counts as empty) and ``prefix_store``.
 
-    All other columns pass through untouched, repeated rows and null ids included; names that clash are
-    an error of the caller's, as in any ``withColumn``."""
+    All other columns pass through untouched, repeated rows and null ids included; columns of these two names
+    are replaced, as by ``withColumn``."""
     path = path or default_path()
     names = [f"c{i}" for i in range(len(df.columns))]
     at = df.columns.index(text)
@@ -367,7 +522,8 @@ def prefix_token_counts(df: DataFrame, text: str = "text", path: str | None = No
             yield pa.RecordBatch.from_arrays([*b.columns, n, pa.array(stores, pa.binary())], [*names, "n", "s"])
 
     out = arrow_batches(df).toDF(*names).mapInArrow(run, schema)
-    return out.select(*[F.col(n).alias(c) for n, c in zip(names, df.columns)], F.col("n").alias("n_tokens"), F.col("s").alias("prefix_store"))
+    kept = [F.col(n).alias(c) for n, c in zip(names, df.columns) if c not in ("n_tokens", "prefix_store")]
+    return out.select(*kept, F.col("n").alias("n_tokens"), F.col("s").alias("prefix_store"))
 
 
 def count_at(store: str, n_chars: int) -> Column:
