@@ -13,7 +13,7 @@ from corpusloom.functions import text as t
 from corpusloom.operators import cleaning, neardup, packing, samples, scoring, splitting, stats, tokenizing
 from corpusloom.operators.cleaning import QualityConfig
 from corpusloom.operators.neardup import MinHashConfig
-from corpusloom.session import table
+from corpusloom.session import spread, table
 from corpusloom.sources.tables import nested
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,7 +66,7 @@ LATERAL (SELECT t + i AS k, ['user', 'assistant', 'tool', 'tool', 'assistant'][i
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return spread(table(spark, sf_dir, "documents"), f"{sf_dir}/documents.parquet")
 
 
 def convs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -666,3 +666,23 @@ def conversation_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = jobs.ChatConfig(quality=QualityConfig(min_chars=1, max_non_printable=1.0, max_punctuation=1.0), strict_roles=True, filter_refusals=False, near_dedup=False)
     _, counts = jobs.chat(tool_convs(spark, sf_dir), cfg, pos="conv_id")
     return counts.select("input_lines", "skipped_role_order", "after_basic_clean", "tool_calls_repaired", "after_exact_dedup")
+
+
+@query("WITH @WORDS, cw AS (SELECT length(coalesce(text, ''))::DOUBLE / len(w) AS n FROM documents JOIN w USING (doc_id) WHERE len(w) > 0), " + _HIST_SQL.format(v="n", t="cw", n=50)[5:])
+def chars_per_token_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokenizer evaluation: characters a token, row by row, in fifty bins."""
+    x = docs(spark, sf_dir).select(t.as_text(F.col("text")).alias("c")).select("c", F.size(t.words(F.col("c"))).alias("n")).where("n > 0")
+    return stats.equal_width_histogram(x.select((F.length("c").cast("double") / F.col("n")).alias("v")), "v", 50)
+
+
+@query("SELECT conv_id, array_to_string(list(role ORDER BY t), ',') AS roles FROM (SELECT conv_id, role, min(turn) AS t FROM conversations GROUP BY conv_id, role) GROUP BY conv_id")
+def role_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convs(spark, sf_dir).select("conv_id", F.array_join(msg.distinct_roles(F.col("conversations")), ",").alias("roles"))
+
+
+@query("""WITH l AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS e FROM embeddings), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY x DESC, e) AS k FROM l),
+m AS (SELECT vec_id, k, e, exp(x - max(x) OVER (PARTITION BY vec_id)) AS p FROM r WHERE k <= 2) SELECT vec_id, k AS rank, e::BIGINT AS expert, round(p / sum(p) OVER (PARTITION BY vec_id), 9) AS weight FROM m""")
+def gate_top2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector's two largest components taken as its experts."""
+    x = table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode("embedding").alias("expert", "score")).select("vec_id", F.col("expert").cast("long").alias("expert"), F.col("score").cast("double").alias("score"))
+    return stats.top_experts(x, ["vec_id"], 2).withColumn("weight", F.round("weight", 9))

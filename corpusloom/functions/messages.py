@@ -258,3 +258,8 @@ def strict_dpo_triplet(chosen: Column, rejected: Column) -> Column:
     before the last reply stops the job."""
     fine = F.coalesce(dpo_triplet(chosen, rejected).isNotNull() & same_prefix(chosen, rejected), F.lit(False))
     return F.when(fine, dpo_triplet(chosen, rejected)).otherwise(F.raise_error(F.lit("not a preference pair: both sides must end with the assistant and agree before")))
+
+
+def distinct_roles(conv: Column) -> Column:
+    """The roles of a conversation, each once, in the order of their first turns."""
+    return F.array_distinct(F.transform(conv, lambda m: m["role"]))

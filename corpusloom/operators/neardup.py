@@ -107,6 +107,17 @@ def near_dedup(df: DataFrame, cfg: MinHashConfig, text: str = "text", key: str =
     return df.join(greedy_drops(buckets(signatures(df, cfg, text, key), cfg, key), shared, key), key, "left_anti")
 
 
+def near_dedup_verified(df: DataFrame, threshold: float, n: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """As ``near_dedup`` with exact Jaccard in the place of bands: a document goes iff an earlier kept one is at or
+    above the threshold.  Copies of a set go with its first; the rest is decided among classes, a pair being
+    a bucket of two.  Documents without words stay."""
+    members, sets = shingle_sets(df, n, text, key)
+    pairs = pairs_above(sets, threshold).select(F.concat_ws("-", "a", "b").alias("bucket"), F.explode(F.array("a", "b")).alias("d"))
+    drops = greedy_drops(pairs.select(F.col("d").alias(key), F.lit(0).alias("band"), "bucket"), Shared(df.sparkSession, "verified"), key)
+    copies = members.where(F.col(key) != F.col("class_id")).select(key)
+    return df.join(copies.unionByName(drops.select(F.col(key))), key, "left_anti")
+
+
 def shingle_sets(df: DataFrame, n: int = 5, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """(key, class_id) of every document with words, and (class_id, s, size, members) of every distinct shingle
     set; a class is named by its smallest key.  Copies of a text cost one row here and nothing later."""

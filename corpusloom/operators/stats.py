@@ -171,6 +171,15 @@ def expert_fractions(df: DataFrame, group: str, expert: str) -> DataFrame:
     return n.select(group, expert, "n", (F.col("n") / F.sum("n").over(Window.partitionBy(group))).alias("fraction"))
 
 
+def top_experts(scores: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """(keys, rank, expert, weight): the k experts of the highest scores of each row of a long table (keys, expert, score),
+    the smaller number first among equals, with their softmax weights scaled to one."""
+    w = Window.partitionBy(*keys).orderBy(F.desc("score"), "expert")
+    top = scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    e = F.exp(F.col("score") - F.max("score").over(Window.partitionBy(*keys)))
+    return top.withColumn("e", e).select(*keys, F.col("rank").cast("long").alias("rank"), "expert", (F.col("e") / F.sum("e").over(Window.partitionBy(*keys))).alias("weight"))
+
+
 def load_entropy(fractions: DataFrame, group: str) -> DataFrame:
     return fractions.groupBy(group).agg(F.avg("fraction").alias("mean"), F.stddev_pop("fraction").alias("std"), F.sum(-F.col("fraction") * F.log("fraction")).alias("entropy"))
 

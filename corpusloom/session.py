@@ -33,3 +33,16 @@ def local_session(cores: int = 8, partitions: int = 8, app: str = "corpusloom",
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One parquet table of a data folder (a file or a folder of parts)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: Tables below this many bytes are spread over all cores before work that is heavy for each row.
+SMALL = 64 << 20
+
+
+def spread(df: DataFrame, path: str) -> DataFrame:
+    """A small table as one partition a core: such a file is often a single row group, which one task reads.  The
+    shuffle is bounded by ``SMALL``; larger tables have their own splits and stay as they are."""
+    sc = df.sparkSession.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    size = p.getFileSystem(sc._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    return df.repartition(sc.defaultParallelism) if size < SMALL else df

@@ -35,9 +35,10 @@ def write_tokens(df: DataFrame, path: str, rows_per_file: int = 500_000) -> None
     ids.write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 
-def write_corpus(df: DataFrame, path: str, text: str = "text") -> None:
-    """One document per line, line feeds written as backslash and n."""
-    df.select(flatten_newlines(F.col(text)).alias("value")).write.mode("overwrite").text(path)
+def write_corpus(df: DataFrame, path: str, text: str = "text", key: str | None = None, seed: int = 42) -> None:
+    """One document per line, line feeds written as backslash and n; with ``key`` in a seeded order."""
+    ordered = df if key is None else df.orderBy(F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary")), key)
+    ordered.select(flatten_newlines(F.col(text)).alias("value")).write.mode("overwrite").text(path)
 
 
 def derived_paths(output: str, **given: str | None) -> dict[str, str]:

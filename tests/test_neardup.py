@@ -58,3 +58,22 @@ def test_copies_are_counted_and_not_listed(spark):
     rows = [(i, "one two three four five six seven") for i in range(500)] + [(900 + i, f"one two three four five six seven {i}") for i in range(3)] + [(999, None), (1000, " ")]
     got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in neardup.links_above(spark.createDataFrame(rows, "doc_id long, text string"), 0.7).collect()}
     assert len(got) == 503 and all(got[i] == (0, 502) for i in range(500)) and all(got[900 + i] == (900 + i, 500) for i in range(3))
+
+
+def test_verified_greedy_is_the_sequential_scan(spark):
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(30)]
+    rows = []
+    for i in range(60):
+        w = list(base if i % 3 else base[::-1])
+        for _ in range(rng.randrange(6)):
+            w[rng.randrange(30)] = f"x{rng.randrange(40)}"
+        rows.append((i, " ".join(w)))
+    rows += [(100, rows[3][1]), (101, None), (102, "")]
+    grams = {i: {tuple(t.split()[k : k + 2]) for k in range(len(t.split()) - 1)} for i, t in rows if t}
+    kept: list[int] = []
+    for i in grams:
+        if not any(len(grams[i] & grams[k]) / len(grams[i] | grams[k]) >= 0.6 for k in kept):
+            kept.append(i)
+    got = {r["doc_id"] for r in neardup.near_dedup_verified(spark.createDataFrame(rows, "doc_id long, text string"), 0.6, 2).collect()}
+    assert got == {*kept, 101, 102} and len(kept) < 58
