@@ -16,7 +16,8 @@ Items are taken in blocks of a fixed number of words, so the index sent to the e
 larger benchmark takes more passes over the documents.
 
 Defined results: null or empty texts and items without words match nothing; repeated rows are judged one
-by one; items with the same words are all reported; an empty table on either side gives no matches;
+by one; items with the same words are all reported; of several passages that match an item the nearest is
+reported, of those the first, whatever texts stand beside it; an empty table on either side gives no matches;
 other columns are ignored, or pass through ``decontaminate``.
 """
 
@@ -37,7 +38,9 @@ from corpusloom.llm.common import arrow_batches
 TOLERANCE = 0.2
 GRAM = 3
 WALKS, SAMPLES, BITS = 4, 16, 2
+#: Words of a block of items; an item longer than this is a block of its own.
 BLOCK_WORDS = 2_000_000
+WORD_BITS = 21
 SEED = 11
 
 _ASCII = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(256))
@@ -126,6 +129,8 @@ class Index:
             w = words_of(t or "")
             if w:
                 items.append((i, [vocab.setdefault(x, len(vocab) + 1) for x in w]))
+        if len(vocab) >= 1 << WORD_BITS:
+            raise ValueError("a block of items has too many distinct words to number")
         own = cls(items, vocab)
         posts: dict[int, list] = {}
         by_n: dict[int, list[int]] = {}
@@ -135,7 +140,7 @@ class Index:
             for j in range(len(w) - q + 1):
                 code = 0
                 for x in w[j : j + q]:
-                    code = code << 21 | x
+                    code = code << WORD_BITS | x
                 posts.setdefault(q, []).append((code, k, j))
         for q, p in posts.items():
             a = np.asarray(sorted(p), np.int64)
@@ -171,7 +176,7 @@ class Index:
             at = np.flatnonzero(ok)
             code = flat[at]
             for j in range(1, q):
-                code = code << 21 | flat[at + j]
+                code = code << WORD_BITS | flat[at + j]
             where = np.searchsorted(codes, code)
             where[where == len(codes)] = 0
             hit = codes[where] == code
@@ -215,37 +220,40 @@ class Index:
                 inside = (pos >= 0) & (pos < size)
                 rows = np.where(inside, flat[np.minimum(starts[doc][:, None] + np.clip(pos, 0, None), len(flat) - 1)], 0)
                 h = keys(rows)
-                found = set()
+                found: set[tuple[int, int, int]] = set()
                 for t in range(len(h)):
                     a, b = np.searchsorted(table[t], h[t], "left"), np.searchsorted(table[t], h[t], "right")
                     for r in np.flatnonzero(b > a):
                         found.update((int(doc[r]), int(start[r]), int(k)) for k in names[t, a[r] : b[r]])
-                for d, s, k in found:
+                for d, s, k in sorted(found):
                     self._verify(d, s, k, flat, starts, out)
 
     def _verify(self, d: int, s: int, k: int, flat: np.ndarray, starts: np.ndarray, out: list[dict]) -> None:
         item = self.items[k][1]
         allowed = edits_allowed(len(item))
         known = out[d].get(k)
-        if known and known[2] == 0:
-            return
         lo = max(0, s - allowed)
+        if known and known[2] == 0 and known[0] <= lo:
+            return  # nothing nearer, nothing earlier
         part = flat[starts[d] + lo : min(starts[d + 1], starts[d] + s + len(item) + allowed)].tolist()
         best, end = search(item, part)
-        if best <= allowed and (not known or (best, lo + end) < (known[2], known[1])):
+        if best <= allowed and (not known or best <= known[2]):
             _, back = search(item[::-1], part[:end][::-1])
-            out[d][k] = (lo + end - back, lo + end, best)
+            now = (lo + end - back, lo + end, best)
+            if not known or (best, *now) < (known[2], *known):
+                out[d][k] = now
 
 
 def blocks(items: DataFrame) -> Iterator[Index]:
     """Indexes over the benchmark, a block of bounded size at a time."""
     rows, size = [], 0
     for r in items.select("item_id", F.col("text").cast("string")).toLocalIterator():
-        rows.append((r[0], r[1]))
-        size += len(r[1] or "") // 5 + 1
-        if size >= BLOCK_WORDS:
+        n = len(words_of(r[1] or ""))
+        if rows and size + n > BLOCK_WORDS:
             yield Index.build(rows)
             rows, size = [], 0
+        rows.append((r[0], r[1]))
+        size += n
     if rows:
         yield Index.build(rows)
 
