@@ -9,8 +9,8 @@ No step orders a source's documents in one task: sizes are first summed by (sour
 only the one bucket that holds the cut is ordered.  Hashes depend on seed and doc_id alone, so reruns,
 other partitionings and retried tasks choose the same documents.
 
-Defined results: null text has size 0; null source is a source of its own, last in order; rows with the
-same doc_id share a hash and are taken together; a source without words has target 0; an empty table
+Defined results: null text has size 0 and is taken as often as its hash says, at most ``max_epochs`` times; null source is a source of its own, last in order; rows with the
+same doc_id share a hash and are taken together; a source without words has target 0 and gives no rows; an empty table
 gives an empty result; a null doc_id hashes as the empty string.
 """
 
@@ -108,7 +108,7 @@ def plan(sized: DataFrame, scratch: Scratch, seed: str = SEED, weights: tuple[in
     out = filled.join(e, F.col("source").eqNullSafe(F.col("es")), "left").join(c, F.col("source").eqNullSafe(F.col("cs")), "left")
     all_bits = (1 << 60) - 1
     low = F.shiftleft("bucket", shift) - 1  # all of the buckets before the edge
-    cut = F.when(F.col("bucket").isNull(), F.lit(all_bits)).otherwise(F.coalesce(F.col("cut"), low))
+    cut = F.when(F.col("rest") <= 0, F.lit(-1)).when(F.col("bucket").isNull(), F.lit(all_bits)).otherwise(F.coalesce(F.col("cut"), low))
     return scratch.write(out.select("source", "source_size", "weight", "target", "whole", cut.alias("cut")), "plan")
 
 

@@ -109,3 +109,12 @@ def test_mix_emits_what_the_report_says(spark, odd):
     for r in mixing.mix_report(df).where("size > 0").collect():
         assert copies.get(r["doc_id"], 0) * r["size"] == r["taken"]
     assert mixing.mix(odd).columns == odd.columns
+
+
+def test_empty_texts_keep_the_cap(spark):
+    """A source at its cap and one without words: no row more often than the cap, none of a source without words."""
+    rows = [(i, "" if i % 3 else "w " * (1 + i % 5), "a" if i % 2 else "b", "x") for i in range(300)] + [(1000 + i, None, "c", "x") for i in range(20)]
+    rows += [(2000 + i, "many words here " * 50, "d", "x") for i in range(40)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string, size string")).collect()
+    often = Counter(r["doc_id"] for r in out)
+    assert max(often.values()) <= mixing.MAX_EPOCHS and not any(1000 <= i < 2000 for i in often)
