@@ -10,10 +10,12 @@
 
 Fitting reads a sample of at most ``SAMPLE`` labelled training rows, chosen by hash; only spellings near
 the lexicon and the features of that sample reach the driver.  Training rows are those whose crc32 of the
-doc_id's text is not 0 modulo 5.  Scores depend on the text alone.
+doc_id's text is not 0 modulo 5.  Scores depend on the text alone.  No word of the sample that passes the bound
+is left out of the lexicon.
 
 Defined results: null and empty texts get the model's score for no matches; without training rows of
-both labels the score is the share of toxic ones (0 if none); repeated rows score alike; an empty table
+both labels the score is the share of toxic ones (0 if none); repeated rows score alike, and of the texts of a
+repeated id the least is fitted on; an empty table
 gives an empty result; a null doc_id is not held out; other columns are ignored.
 """
 
@@ -32,7 +34,6 @@ from pyspark.sql import types as T
 from corpusloom.llm.common import arrow_batches
 
 SAMPLE = 20_000
-TERMS = 2_000
 WORDS_KEPT = 500_000
 FOLDS = 5
 EDGES = "#*$%&|<>.,;:!?¡¿…()[]{}\"'`´“”„‘’‚«»‹›-–—_~=+/\\@^"
@@ -227,7 +228,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     own = own.groupBy("doc_id").agg(F.max("toxic").alias("y"))
     ids = own.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(sample)
     # at most ``sample`` ids: bounded, so it may be broadcast
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.first("y").alias("y"), F.min("text").alias("text"))  # of a repeated id always the same text
     rows = rows.persist()
     try:
         totals = dict(rows.groupBy("y").count().collect())
@@ -246,10 +248,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
         words = arrow_batches(rows.select("text", F.col("y").cast("int").alias("y"))).mapInArrow(spell, "w string, n0 long, n1 long")
         words = words.groupBy("w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).where("length(w) >= 3").persist()
-        cand = words.where("n1 >= 5 and n1 > n0").orderBy(F.desc("n1"), "w").limit(10 * TERMS).collect()
         terms = {}
-        for r in cand:
-            if _wilson(r["n1"], r["n1"] + r["n0"]) > 0.6 and len(terms) < TERMS:
+        for r in words.where("n1 >= 5 and n1 > n0").collect():  # at most the sample's vocabulary
+            if _wilson(r["n1"], r["n1"] + r["n0"]) > 0.6:
                 terms[r["w"]] = math.log((r["n1"] + 0.5) / (n1 + 1) / ((r["n0"] + 0.5) / (n0 + 1)))
         model = Model(weight=terms)
         if not terms:
@@ -289,7 +290,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """Per row: doc_id, held_out, score, predicted."""
     slim = docs.select("doc_id", held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
     schema = T.StructType([slim.schema["doc_id"], T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-    shared = slim.sparkSession.sparkContext.broadcast(model)  # at most TERMS terms and the sample's spellings near them
+    shared = slim.sparkSession.sparkContext.broadcast(model)  # terms and spellings of the sample's documents, which SAMPLE bounds
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
