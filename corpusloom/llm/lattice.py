@@ -191,7 +191,10 @@ def score(df: DataFrame, path: str | None = None) -> DataFrame:
         "block", F.posexplode(F.arrays_zip("words", "counts")).alias("k", "x"), F.col("ids").cast("string").cast("int").alias("lo")
     ).select("block", (F.col("lo") + F.col("k")).alias("k"), F.col("x.words").alias("word"), F.col("x.counts").alias("n"))
     entries = scratch.write(entries, "entries")
-    vocabulary = scratch.write(entries.groupBy("word").agg(F.sum("n").alias("c")), "vocabulary")
+    # a block has counted its words already; the words' work is shared out by their number, not by their bytes
+    least = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = min(8 * least, max(least, entries.count() // 100_000))
+    vocabulary = scratch.write(entries.repartition(parts, "word").groupBy("word").agg(F.sum("n").alias("c")), "vocabulary")
     row = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.sum(F.when(F.col("c") > 0, 1).otherwise(0)).alias("v"), F.max(F.when(F.col("word") == END, F.col("c"))).alias("ends")).first()
     n_train, distinct, ends = int(row["n"]), int(row["v"] or 0), int(row["ends"] or 0)
     counts = _piece_counts(vocabulary.where((F.col("c") > 0) & (F.col("word") != END)), path)
