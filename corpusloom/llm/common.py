@@ -63,6 +63,13 @@ class Scratch:
 
 
 def arrow_batches(df: DataFrame) -> DataFrame:
-    """Keeps Arrow batches small: texts may be very long, and 10,000 of them at once would not fit."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    """Keeps Arrow batches small: at most 1000 rows, and few bytes where the session's Spark can bound them.
+
+    Spark reads these settings when a query runs, so they are lowered for the session and can't be put back here;
+    values that are lower already stay."""
+    conf = df.sparkSession.conf
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 1000), ("spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20)):
+        now = str(conf.get(name))
+        if not now.isdigit() or not 0 < int(now) <= most:
+            conf.set(name, str(most))
     return df

@@ -8,45 +8,50 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm import decontam, dedup, htmltext, lattice, mixing, quality, secretscan, store, tokens, toxicity
 from corpusloom.llm.common import read
+from corpusloom.session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(read(spark, sf_dir, "documents"), f"{sf_dir}/documents.parquet")
+
+
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens.token_counts(read(spark, sf_dir, "documents"))
+    return tokens.token_counts(documents(spark, sf_dir))
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.near_duplicates(read(spark, sf_dir, "documents"))
+    return dedup.near_duplicates(documents(spark, sf_dir))
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return decontam.leaks(documents(spark, sf_dir), read(spark, sf_dir, "benchmark"))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = quality.quality(read(spark, sf_dir, "documents"))
+    q = quality.quality(documents(spark, sf_dir))
     return q.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secretscan.secrets(read(spark, sf_dir, "documents"))
+    return secretscan.secrets(documents(spark, sf_dir))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_report(read(spark, sf_dir, "documents"))
+    return mixing.mix_report(documents(spark, sf_dir))
 
 
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return store.encode_and_digest(read(spark, sf_dir, "documents"))
+    return store.encode_and_digest(documents(spark, sf_dir))
 
 
 def op8_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lattice.score(read(spark, sf_dir, "documents"))
+    return lattice.score(documents(spark, sf_dir))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return toxicity.toxicity(documents(spark, sf_dir), read(spark, sf_dir, "labels"))
 
 
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
