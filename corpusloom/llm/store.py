@@ -5,13 +5,15 @@ moves only the cuts near it and shared passages give the same chunks.  Layout of
 
 ``chunks``    one row per distinct chunk: sha256 of its payload, number of ids, how often it is
               referenced, payload (ids as little-endian unsigned integers of the width in ``manifest``)
-``recipes``   one row per document in ascending doc_id order: part, doc_id, n_tokens, chunk hashes and
-              lengths, Merkle root of the hashes
+``recipes``   one row per document in ascending doc_id order: part, place in it, doc_id, n_tokens, ids of the
+              part before it, chunk hashes and lengths, Merkle root of the hashes; the last row of every
+              ``RUN`` documents also has the Merkle root of their roots
 ``manifest``  one row per part: number of documents and ids, ids of all parts before it, Merkle root of
-              its documents' roots, format fields
+              its runs' roots, format fields
 
 All three are Parquet tables written through Spark's commit protocol: a task that is lost and run again
-leaves no half-written or doubled files.  ``verify`` recomputes every hash from what was written.
+leaves no half-written or doubled files.  Reading recomputes every hash from what was written, by documents,
+runs and parts; what one step holds at a time is bounded by ``RUN``, not by the size of a part.
 
 Defined results: null text is the empty document, whose stream is the end id alone; rows with the same
 doc_id are separate documents next to each other; a null doc_id sorts first; an empty table gives an
@@ -22,7 +24,9 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +39,8 @@ from corpusloom.llm.common import Scratch, arrow_batches
 from corpusloom.llm.tokens import Pieces, default_path
 
 END_ID = 2
+#: Documents whose roots are hashed into one.
+RUN = 4096
 #: Chunk lengths in ids: least, most; a cut is sought with probability 2**-BITS at each id between.
 LEAST, MOST, BITS, WINDOW = 64, 2048, 8, 16
 ID_TYPE = "<u2"  # the vocabulary has fewer than 65,536 ids
@@ -49,10 +55,12 @@ def cuts(ids: np.ndarray) -> list[int]:
     n = len(ids)
     if n <= LEAST:
         return [n] if n else []
-    g = _GEAR[ids]
-    h = g.copy()
-    for j in range(1, WINDOW):
-        h[j:] += g[:-j] << np.uint64(j)
+    # the sum over the window of each id's number shifted by its distance, doubled from step to step
+    h, j = _GEAR[ids], 1
+    while j < WINDOW:
+        low = h[:-j] << np.uint64(j)
+        h[j:] += low
+        j *= 2
     spots = np.flatnonzero((h & _MASK) == 0) + 1
     out, last = [], 0
     for s in spots.tolist():
@@ -81,41 +89,95 @@ def merkle(leaves: list[bytes]) -> bytes:
     return level[0]
 
 
+def _flat(lists: pa.ListArray) -> tuple[pa.Array, list[int]]:
+    """The values of a list column and where each row's begin and end among them."""
+    at = lists.offsets.to_numpy()
+    return lists.flatten(), (at - at[0]).tolist() if len(at) else [0]
+
+
+def _list(offsets: np.ndarray, values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+
+
 def _staged(df: DataFrame, path: str) -> DataFrame:
-    """Per document: hashes, lengths and payloads of its chunks; a payload that the same batch of
-    documents has already given is left null."""
+    """Per document: hash, length and payload of its chunks; a payload that the same batch of documents has
+    already given is left null."""
     slim = df.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    chunk = T.StructType([T.StructField("hash", T.BinaryType()), T.StructField("n", T.IntegerType()), T.StructField("payload", T.BinaryType())])
     schema = T.StructType([
         T.StructField("doc_id", slim.schema["doc_id"].dataType), T.StructField("n_tokens", T.LongType()),
-        T.StructField("hashes", T.ArrayType(T.BinaryType())), T.StructField("lens", T.ArrayType(T.IntegerType())),
-        T.StructField("payloads", T.ArrayType(T.BinaryType())), T.StructField("root", T.BinaryType()),
+        T.StructField("chunks", T.ArrayType(chunk)), T.StructField("root", T.BinaryType()),
     ])
     end = np.asarray([END_ID], ID_TYPE).tobytes()
     width = np.dtype(ID_TYPE).itemsize
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces.get(path)
+        pieces, sha = Pieces.get(path), hashlib.sha256
         for b in batches:
             seen: set[bytes] = set()
-            n, hashes, lens, payloads, roots = [], [], [], [], []
+            n, at, hashes, lens, payloads, roots = [], [0], [], [], [], []
             for raw in pieces.id_bytes(b.column("text").to_pylist(), ID_TYPE):
                 raw += end
                 ends = cuts(np.frombuffer(raw, ID_TYPE))
                 parts = [raw[i * width : j * width] for i, j in zip([0, *ends], ends)]
-                own = [hashlib.sha256(p).digest() for p in parts]
+                own = [sha(p).digest() for p in parts]
                 n.append(len(raw) // width)
-                hashes.append(own)
-                lens.append([len(p) // width for p in parts])
-                payloads.append([None if h in seen else seen.add(h) or p for h, p in zip(own, parts)])
+                hashes += own
+                lens += [len(p) // width for p in parts]
+                payloads += [None if h in seen else seen.add(h) or p for h, p in zip(own, parts)]
                 roots.append(merkle(own))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(hashes, pa.list_(pa.binary())), pa.array(lens, pa.list_(pa.int32())), pa.array(payloads, pa.list_(pa.binary())), pa.array(roots, pa.binary())],
-                schema.names,
-            )
+                at.append(len(hashes))
+            chunks = pa.StructArray.from_arrays([pa.array(hashes, pa.binary()), pa.array(lens, pa.int32()), pa.array(payloads, pa.binary())], ["hash", "n", "payload"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), _list(at, chunks), pa.array(roots, pa.binary())], schema.names)
 
     return arrow_batches(slim).mapInArrow(run, schema)
 
 
+def _placed(ordered: DataFrame) -> DataFrame:
+    """Adds to the sorted rows of each part: part, place, ids before, and a run's root on its last row."""
+    schema = T.StructType([
+        T.StructField("part", T.IntegerType()), T.StructField("place", T.LongType()), *ordered.schema.fields,
+        T.StructField("before", T.LongType()), T.StructField("run_root", T.BinaryType()),
+    ])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, place, ids, leaves, held = TaskContext.get().partitionId(), 0, 0, [], None
+        # one batch is held back, so that the last row of the part is known as such
+        for b in chain((x for x in batches if x.num_rows), [None]):
+            if held is not None:
+                sizes = held.column("n_tokens").to_numpy()
+                before = ids + np.concatenate([[0], np.cumsum(sizes)[:-1]])
+                tops: list[bytes | None] = []
+                for k, root in enumerate(held.column("root").to_pylist()):
+                    leaves.append(root)
+                    full = len(leaves) == RUN or (b is None and k == held.num_rows - 1)
+                    tops.append(merkle(leaves) if full else None)
+                    leaves = [] if full else leaves
+                m = held.num_rows
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(m, part), pa.int32()), pa.array(np.arange(place, place + m), pa.int64()), *held.columns, pa.array(before, pa.int64()), pa.array(tops, pa.binary())],
+                    schema.names,
+                )
+                place, ids = place + m, ids + int(sizes.sum())
+            held = b
+
+    return ordered.mapInArrow(run, schema)
+
+
+@F.udf(T.BinaryType())
+def _root_of(leaves: list) -> bytes:
+    """Of the roots of a part's runs: one row per part."""
+    return merkle([bytes(x) for x in leaves])
+
+
+def _parts(runs: DataFrame) -> DataFrame:
+    """Per part, from (part, run, n_docs, n_ids, run_root): number of documents and ids, root."""
+    tops = F.transform(F.array_sort(F.collect_list(F.struct("run", "run_root"))), lambda x: x["run_root"])
+    return runs.groupBy("part").agg(F.sum("n_docs").alias("n_docs"), F.sum("n_ids").alias("n_ids"), tops.alias("tops")).withColumn("root", _root_of("tops")).drop("tops")
+
+
 def write(df: DataFrame, root: str, path: str | None = None) -> None:
     """Encodes the texts of ``df`` (doc_id, text) and writes a store to the folder ``root``."""
     spark = df.sparkSession
@@ -123,36 +185,30 @@ def write(df: DataFrame, root: str, path: str | None = None) -> None:
     staged = scratch.write(_staged(df, path or default_path()), "staged")
     # refs and payloads of a chunk meet in one small aggregate, combined on the map side first, so a chunk
     # that a third of all documents share is no heavier than any other
-    flat = staged.select(F.explode(F.arrays_zip("hashes", "lens", "payloads")).alias("c"))
-    flat.groupBy(F.col("c.hashes").alias("hash")).agg(
-        F.first("c.lens").alias("n_ids"), F.count("*").alias("refs"), F.first("c.payloads", ignorenulls=True).alias("payload")
+    flat = staged.select(F.inline("chunks"))
+    flat.groupBy("hash").agg(
+        F.first("n").alias("n_ids"), F.count("*").alias("refs"), F.first("payload", ignorenulls=True).alias("payload")
     ).write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/chunks")
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ordered = staged.select("doc_id", "n_tokens", "hashes", "lens", "root").repartitionByRange(parts, "doc_id", "root").sortWithinPartitions("doc_id", "root")
-    ordered.withColumn("part", F.spark_partition_id()).write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/recipes")
+    slim = staged.select("doc_id", "n_tokens", F.col("chunks.hash").alias("hashes"), F.col("chunks.n").alias("lens"), "root")
+    ordered = slim.repartitionByRange(parts, "doc_id", "root").sortWithinPartitions("doc_id", "root")
+    _placed(ordered).write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/recipes")
     scratch.drop()
-    recipes = spark.read.parquet(f"{root}/recipes")
-    # a part's roots: 32 bytes per document of one sorted part
-    roots = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "root"))), lambda x: x["root"])
-    totals = recipes.groupBy("part").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_ids"), roots.alias("roots"))
-
-    @F.udf("binary")
-    def root_of(leaves: list) -> bytes:
-        return merkle([bytes(x) for x in leaves])
-
-    before = F.coalesce(F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    manifest = totals.select("part", "n_docs", "n_ids", root_of("roots").alias("root"))  # one row per part
-    manifest.select("*", before.alias("start"), F.lit(ID_TYPE).alias("id_type"), F.lit(END_ID).alias("end_id"), F.lit(1).alias("version")).write.mode("overwrite").parquet(f"{root}/manifest")
+    last = spark.read.parquet(f"{root}/recipes").where("run_root is not null")
+    runs = last.select("part", F.expr(f"place div {RUN}").alias("run"), (F.col("place") + 1).alias("docs"), (F.col("before") + F.col("n_tokens")).alias("ids"), "run_root")
+    # of a part's runs the last has the totals
+    totals = _parts(runs.select("part", "run", F.lit(0).alias("n_docs"), F.lit(0).alias("n_ids"), "run_root")).select("part", "root")
+    totals = runs.groupBy("part").agg(F.max("docs").alias("n_docs"), F.max("ids").alias("n_ids")).join(totals, "part")
+    before = F.coalesce(F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row per part
+    totals.select("part", "n_docs", "n_ids", "root", before.alias("start"), F.lit(ID_TYPE).alias("id_type"), F.lit(END_ID).alias("end_id"), F.lit(2).alias("version")).write.mode("overwrite").parquet(f"{root}/manifest")
 
 
 def recipes(spark: SparkSession, root: str) -> DataFrame:
-    """Recipes with ``start``, the number of ids of all documents before, from the manifest's part totals
-    and a running sum inside each part."""
+    """Recipes with ``start``, the number of ids of all documents before.  The manifest has one row per part;
+    Spark broadcasts it only while it is below the session's size limit."""
     m = spark.read.parquet(f"{root}/manifest").select("part", F.col("start").alias("base"))
-    w = Window.partitionBy("part").orderBy("doc_id", "root", "__i").rowsBetween(Window.unboundedPreceding, -1)
-    r = spark.read.parquet(f"{root}/recipes").withColumn("__i", F.monotonically_increasing_id())
-    own = r.withColumn("inner", F.coalesce(F.sum("n_tokens").over(w), F.lit(0))).drop("__i")
-    return own.join(m, "part").withColumn("start", F.col("base") + F.col("inner")).drop("base", "inner")
+    r = spark.read.parquet(f"{root}/recipes")
+    return r.join(m, "part").withColumn("start", F.col("base") + F.col("before")).drop("base")
 
 
 def _checked_chunks(spark: SparkSession, root: str) -> DataFrame:
@@ -161,25 +217,32 @@ def _checked_chunks(spark: SparkSession, root: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            crc, n = [], []
-            for h, k, p in zip(*(b.column(c).to_pylist() for c in ("hash", "n_ids", "payload"))):
-                ids = np.frombuffer(p, ID_TYPE)
-                if hashlib.sha256(p).digest() != h or len(ids) != k:
+            crc, width, sha = [], np.dtype(ID_TYPE).itemsize, hashlib.sha256
+            payloads, n = b.column("payload").to_pylist(), b.column("n_ids").to_pylist()
+            # one widening for all payloads of the batch
+            wide = memoryview(np.frombuffer(b"".join(payloads), ID_TYPE).astype("<u4").tobytes())
+            at = 0
+            for h, k, p in zip(b.column("hash").to_pylist(), n, payloads):
+                if sha(p).digest() != h or len(p) != k * width:
                     raise ValueError(f"chunk {h.hex()} is damaged")
-                n.append(k)
-                crc.append(zlib.crc32(ids.astype("<u4").tobytes()))
-            yield pa.RecordBatch.from_arrays([b.column("hash"), pa.array(n, pa.int32()), pa.array(crc, pa.int64())], ["hash", "n", "crc"])
+                crc.append(zlib.crc32(wide[at : at + 4 * k]))
+                at += 4 * k
+            yield pa.RecordBatch.from_arrays([b.column("hash"), b.column("n_ids"), pa.array(crc, pa.int64())], ["hash", "n", "crc"])
 
     return spark.read.parquet(f"{root}/chunks").select("hash", "n_ids", "payload").mapInArrow(run, "hash binary, n int, crc long")
 
 
-def joined_crc(parts: list[tuple[int, int]]) -> int:
+@lru_cache(1 << 14)
+def _zeros_crc(n: int) -> int:
+    return zlib.crc32(bytes(n))
+
+
+def joined_crc(parts: Iterable[tuple[int, int]]) -> int:
     """crc32 of a concatenation from the (crc32, length) of its parts.  The checksum is linear: against a
     run of zeros of the same length, a part changes it by what it changes on its own."""
     crc = 0
     for own, n in parts:
-        zeros = _ZEROS[:n]
-        crc = zlib.crc32(zeros, crc) ^ zlib.crc32(zeros) ^ own
+        crc = (zlib.crc32(_ZEROS[:n], crc) ^ _zeros_crc(n) if crc else 0) ^ own
     return crc
 
 
@@ -209,12 +272,17 @@ def digests(spark: SparkSession, root: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for n, parts in zip(b.column("n_tokens").to_pylist(), b.column("parts").to_pylist()):
-                rows = sorted((p["k"], p["crc"], p["n"]) for p in parts)
-                if any(c is None for _, c, _ in rows) or sum(x for _, _, x in rows) != n:
-                    raise ValueError("a recipe names a chunk that the store lacks")
-                out.append(joined_crc([(c, 4 * x) for _, c, x in rows]))
+            parts, at = _flat(b.column("parts"))
+            if parts.field("crc").null_count:
+                raise ValueError("a recipe names a chunk that the store lacks")
+            k, crc, n = (parts.field(c).to_numpy(zero_copy_only=False) for c in ("k", "crc", "n"))
+            doc = np.repeat(np.arange(b.num_rows), np.diff(at))
+            order = np.lexsort((k, doc))
+            crc, n = crc[order].tolist(), n[order]
+            if b.num_rows and (np.bincount(doc, n, b.num_rows) != b.column("n_tokens").to_numpy()).any():
+                raise ValueError("a recipe names a chunk that the store lacks")
+            n = (4 * n).tolist()
+            out = [joined_crc(zip(crc[i:j], n[i:j])) for i, j in zip(at, at[1:])]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("start"), b.column("n_tokens"), pa.array(out, pa.int64())], schema.names)
 
     schema = T.StructType([docs.schema["doc_id"], T.StructField("start", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType())])
@@ -241,23 +309,56 @@ def verify(spark: SparkSession, root: str) -> dict[str, int]:
 
 
 def _damaged_roots(spark: SparkSession, root: str) -> tuple[int, int]:
-    """Documents and parts whose Merkle roots, recomputed from recipes, aren't those written; needs no payloads."""
+    """Documents and parts whose Merkle roots, recomputed from recipes, aren't those written, or whose places
+    and ids don't follow on each other; needs no payloads."""
+    r = spark.read.parquet(f"{root}/recipes").select("part", "place", "n_tokens", "before", "hashes", "lens", "root", "run_root")
 
-    @F.udf("binary")
-    def root_of(leaves: list) -> bytes:
-        return merkle([bytes(x) for x in leaves])
-
-    r = spark.read.parquet(f"{root}/recipes")
-    bad = r.where(~root_of("hashes").eqNullSafe(F.col("root"))).count()
-    roots = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "root"))), lambda x: x["root"])
-    own = r.groupBy("part").agg(root_of(roots).alias("r"), F.sum("n_tokens").alias("n"))
+    def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hashes, at = _flat(b.column("hashes"))
+            hashes = hashes.to_pylist()
+            sizes = np.add.reduceat(np.append(b.column("lens").flatten().to_numpy(), 0), at[:-1]) if b.num_rows else np.zeros(0)
+            good = [merkle(hashes[i:j]) == x for i, j, x in zip(at, at[1:], b.column("root").to_pylist())]
+            good = np.asarray(good, bool) & (sizes == b.column("n_tokens").to_numpy())
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("part", "place", "n_tokens", "before", "root", "run_root")), pa.array(good)], names)
+
+    names = ["part", "place", "n_tokens", "before", "root", "run_root", "good"]
+    told = r.mapInArrow(leaves, "part int, place long, n_tokens long, before long, root binary, run_root binary, good boolean")
+    # a group holds the roots of RUN documents at most
+    runs = told.groupBy("part", F.expr(f"place div {RUN}").alias("run")).agg(
+        F.array_sort(F.collect_list(F.struct("place", "n_tokens", "before", "root"))).alias("docs"), F.max("run_root").alias("run_root"), F.count_if(~F.col("good")).alias("bad"))
+
+    def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            docs, at = _flat(b.column("docs"))
+            place, n_ids, before = (docs.field(c).to_numpy() for c in ("place", "n_tokens", "before"))
+            roots, first, ids, good = docs.field("root").to_pylist(), [], [], []
+            for k, i, j, top in zip(b.column("run").to_pylist(), at, at[1:], b.column("run_root").to_pylist()):
+                upto = before[i] + np.cumsum(n_ids[i:j])
+                fine = (place[i:j] == np.arange(k * RUN, k * RUN + j - i)).all() and (before[i + 1 : j] == upto[:-1]).all()
+                first.append(int(before[i]))
+                ids.append(int(n_ids[i:j].sum()))
+                good.append(bool(fine) and merkle(roots[i:j]) == top)
+            n = pa.array(np.diff(at), pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("part"), b.column("run"), n, pa.array(ids, pa.int64()), pa.array(first, pa.int64()), b.column("run_root"), pa.array(good, pa.bool_()), b.column("bad")], cols)
+
+    cols = ["part", "run", "n_docs", "n_ids", "first", "run_root", "good", "bad"]
+    found = Scratch(spark, "store-check")
+    runs = found.write(runs.mapInArrow(tops, "part int, run long, n_docs long, n_ids long, first long, run_root binary, good boolean, bad long"), "runs")
+    bad = runs.agg(F.coalesce(F.sum("bad"), F.lit(0))).first()[0]
+    upto = F.coalesce(F.sum("n_ids").over(Window.partitionBy("part").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    torn = runs.withColumn("upto", upto).groupBy("part").agg(F.count_if(~F.col("good") | (F.col("upto") != F.col("first"))).alias("torn"))
+    own = _parts(runs).join(torn, "part").select("part", F.col("root").alias("r"), F.col("n_docs").alias("d"), F.col("n_ids").alias("n"), "torn")
     m = spark.read.parquet(f"{root}/manifest")
-    parts = m.join(own, "part", "left").where(~F.col("r").eqNullSafe(F.col("root")) | ~F.col("n").eqNullSafe(F.col("n_ids"))).count()
-    return bad, parts
+    same = F.col("r").eqNullSafe(F.col("root")) & F.col("n").eqNullSafe(F.col("n_ids")) & F.col("d").eqNullSafe(F.col("n_docs")) & (F.col("torn") == 0)
+    parts = m.join(own, "part", "full").where(~F.coalesce(same, F.lit(False))).count()
+    found.drop()
+    return int(bad), parts
 
 
 def encode_and_digest(df: DataFrame, root: str | None = None) -> DataFrame:
-    """Writes a store and returns its documents' digests, read back from it."""
+    """Writes a store and returns its documents' digests, read back from it.  Without a ``root`` the store lies
+    in the shared folder until the process ends."""
     spark = df.sparkSession
     root = root or Scratch(spark, "token-store").root
     write(df, root)

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
 import random
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -10,7 +13,10 @@ from tokenizers import Tokenizer
 
 from corpusloom.llm import store, tokens
 
-PARTS = "it's I'll don't über Ünïcode étude 漢字テスト 한국어 <|endoftext|> a<|startoftext|>b ...!! x1y22 ΑΣ İstanbul 가x ab\x1ccd '' 're 'rex \U0001f600ok ﬁne aaaaaaa the é̂x naïve, Ⅷx ²3 a_b_, \"'s,\"".split(" ")
+PARTS = (
+    "it's I'll don't über Ünïcode étude 漢字テスト 한국어 <|endoftext|> a<|startoftext|>b ...!! x1y22 ΑΣ İstanbul 가x ab\x1ccd '' 're 'rex \U0001f600ok ﬁne aaaaaaa the é̂x naïve, Ⅷx ²3 a_b_, \"'s,\" "
+    "l'été 'r 'v've ''s .'s 'lL 'Ll 9's नमस्ते क्षत्रिय éȩ̀x Å 각 ́a <|endoftext <|startof a\xa0b x\u2003y aİ \x00\x1b <|endoftext|><|endoftext|> '<|endoftext|>s 's<|startoftext|>'t ß ª µ word, (word) a-b"
+).split(" ")
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +36,37 @@ def test_every_prefix_is_exact(lib):
         assert tokens.counts(p.prefix_deltas([x])[0]).tolist() == want, x
 
 
+def test_pieces_without_spaces(lib):
+    """Pieces glued of all kinds, counted without the library's help."""
+    p, rng = tokens.Pieces.get(tokens.default_path()), random.Random(8)
+    for _ in range(120):
+        x = "".join(rng.choice(PARTS) for _ in range(rng.randrange(1, 8))).replace("\n", "").replace(" ", "")
+        want = [len(e.ids) for e in lib.encode_batch([x[:k] for k in range(1, len(x) + 1)], add_special_tokens=False)]
+        assert tokens.Walk(p).counts(x) == want, x
+
+
+def test_long_pieces_take_bounded_memory_and_time(lib):
+    """A text of 1 MB without a space, with apostrophes; another of combining marks; special strings in a third."""
+    script = (
+        "import resource, time, numpy as np\n"
+        "from corpusloom.llm import tokens\n"
+        "p = tokens.Pieces.get(tokens.default_path())\n"
+        "for x in ('abc\\'d.e' * 142_858, 'e\\u0301don\\'t' * 6000, 'a' + '\\u0301' * 2000, 'ab<|endoftext|>' * 3000):\n"
+        "    d = p.prefix_deltas([x])[0]\n"
+        "    assert len(tokens.unpack(d)) == len(x) and tokens.counts(d)[-1] == len(p.encode([x])[0]) == len(p.id_bytes([x])[0]) // 2\n"
+        "assert max(map(len, p.deltas)) <= tokens.LONG_PIECE and max(map(len, p.ids)) <= tokens.LONG_PIECE\n"
+        "print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)\n"
+    )
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=120, cwd=Path(tokens.__file__).parents[2])
+    assert done.returncode == 0, done.stderr
+    assert int(done.stdout) < 1000
+
+
+def test_clashing_names_give_way(spark):
+    x = tokens.prefix_token_counts(spark.createDataFrame([(1, "one two", 9)], "doc_id long, text string, n_tokens int"))
+    assert x.columns == ["doc_id", "text", "n_tokens", "prefix_store"] and x.first()["n_tokens"] == 2
+
+
 def test_ids_are_the_librarys(lib):
     p = tokens.Pieces.get(tokens.default_path())
     own = texts(400, 2)
@@ -111,6 +148,27 @@ def test_swapped_chunks_are_found(spark, tmp_path):
         store.digests(spark, root).collect()
 
 
+def test_runs_of_roots(spark, tmp_path, monkeypatch):
+    """Roots over runs of a few documents; a changed place, total or root of one document is found."""
+    monkeypatch.setattr(store, "RUN", 3)
+    root = f"file://{tmp_path}/r"
+    store.write(spark.createDataFrame([(i % 40, f"text {i} " * (i % 5)) for i in range(100)], "doc_id long, text string"), root)
+    good = spark.read.parquet(f"{root}/recipes")
+    rows, schema = good.collect(), good.schema
+    assert store._damaged_roots(spark, root) == (0, 0)
+    starts = sorted((r["start"], r["n_tokens"]) for r in store.recipes(spark, root).collect())
+    assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))
+    top = sum(r["run_root"] is not None for r in rows)
+    assert top >= len(rows) / 3
+    for change in ({"before": 1}, {"place": 0}, {"n_tokens": 9}, {"root": b"0" * 32}):
+        k, v = next(iter(change.items()))
+        at = next(i for i, r in enumerate(rows) if r["place"] == 4)
+        bad = [tuple(r.asDict().values()) if i != at else tuple((r.asDict() | {k: v}).values()) for i, r in enumerate(rows)]
+        spark.createDataFrame(bad, schema).write.mode("overwrite").parquet(f"{root}/recipes")
+        with pytest.raises(Exception, match="damaged"):
+            store.digests(spark, root).collect()
+
+
 def test_cuts_are_local():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 49_000, 20_000).astype("<u2")
