@@ -1,7 +1,7 @@
 """Near-duplicates by an LSH forest over MinHash signatures, every link confirmed on full shingle sets.
 
 1. One pass turns each text into its set of distinct 5-word shingles and keeps the set's size, a digest
-   of the words and a signature of 128 minima.  Texts with the same words become one node.
+   of the words and a signature of 128 minima.  Texts with the same words become one node, numbered as written.
 2. Forest: 40 orders of the signature's positions, the first three of each order disjoint from those of
    all others.  In each order, nodes that share the first three values form a region; a region of more
    than ``REGION`` nodes is cut by further values (adaptive depth 3, 5, 8, 12), and one that stays dense
@@ -10,7 +10,8 @@
 3. Each node confirms its most frequent and its smallest candidate first; confirmed links give
    components.  What this bound on partners leaves out is then done: all pairs of a region that lie in
    different components and whose sizes allow the threshold, dense regions under eight choices of further
-   values at each step (``_dense_rest``), and all candidates not yet tried.
+   values at each step (``_dense_rest``), and all candidates not yet tried.  Of the pairs between two
+   components the one met most often comes first, and all others only where it links nothing.
    Pairs inside one component need no check, as they can't change it.
 4. Links count by 100 * intersection >= 70 * union over 48-bit shingle hashes of whole texts.
 
@@ -43,7 +44,8 @@ SHINGLE, THRESHOLD = 5, 70
 MINIMA, TREES, DEPTHS = 128, 40, (3, 5, 8, 12)
 REGION, NEXT = 64, 2
 WORDS_KEPT = 500_000
-BITMAP = 1 << 23  # bits of the fixed-size filter over ids
+BITMAP = (23, 28)  # powers of two: least and most bits of the filter over ids
+SENT = 1_000_000  # most ids of documents to drop that are sent to every executor
 
 _RNG = np.random.default_rng(7)
 _MULT = _RNG.integers(0, 1 << 64, SHINGLE, dtype=np.uint64) | np.uint64(1)
@@ -167,10 +169,10 @@ def forest(nodes: DataFrame) -> DataFrame:
                     tail = np.ascontiguousarray(sig[:, order[DEPTHS[0] :]].astype(">u2"))
                     tails = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * deep), n, [None, pa.py_buffer(tail.tobytes())]).cast(pa.binary())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(h.view(np.int64)), b.column("node"), b.column("n_shingles").cast(pa.int64()), tails], ["region", "node", "n", "tail"]
+                        [pa.array(h.view(np.int64)), b.column("node"), b.column("n_shingles"), tails], ["region", "node", "n", "tail"]
                     )
 
-    return nodes.select("node", "n_shingles", "sig").mapInArrow(run, "region long, node binary, n long, tail binary")
+    return nodes.select("node", "n_shingles", "sig").mapInArrow(run, "region long, node long, n long, tail binary")
 
 
 def _regions(rows: DataFrame, scratch: Scratch) -> DataFrame:
@@ -267,12 +269,12 @@ def neighbours(regions: DataFrame) -> DataFrame:
     return x.select(F.least("node", "o.node").alias("a"), F.greatest("node", "o.node").alias("b")).groupBy("a", "b").agg(F.count("*").alias("hits"))
 
 
-def _bitmap(ids: DataFrame) -> bytes:
-    """A bit per id hash; of fixed size, so it may be sent to every executor.  A full bitmap only means
+def _bitmap(ids: DataFrame, bits: int) -> bytes:
+    """A bit per id hash.  Its size has a bound, so it may be sent to every executor; a full bitmap only means
     that nothing is skipped."""
-    h = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP))
+    h = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
     rows = ids.select(h.alias("h")).groupBy(F.bitmap_bucket_number(F.col("h") + 1).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("h") + 1)).alias("m")).collect()
-    out = bytearray(BITMAP // 8 + 8192)
+    out = bytearray(bits // 8 + 8192)
     for r in rows:
         out[4096 * (r["k"] - 1) : 4096 * r["k"]] = bytes(r["m"])
     return bytes(out)
@@ -282,8 +284,11 @@ def confirm(df: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes whose full sets meet the threshold.  Texts are read again, and only the
     nodes in question are shingled and shuffled."""
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    bits = df.sparkSession.sparkContext.broadcast(_bitmap(ends.join(nodes.select("node", "doc_id"), "node")))
-    hashed = df.select(F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP)).alias("h"), F.col("text").cast("string").cast("binary").alias("text"))
+    ends = ends.join(nodes, "node").select("node", "digest", "doc_id")
+    # 16 bits for each node that may be asked for, within the bound
+    size = 1 << min(max((32 * pairs.count()).bit_length(), BITMAP[0]), BITMAP[1])
+    bits = df.sparkSession.sparkContext.broadcast(_bitmap(ends, size))
+    hashed = df.select(F.pmod(F.xxhash64("doc_id"), F.lit(size)).alias("h"), F.col("text").cast("string").cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(bits.value, np.uint8)
@@ -296,10 +301,10 @@ def confirm(df: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
                 node = [hashlib.md5(b" ".join(w)).digest() for w in words]
                 packed = [np.unique(x >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for x in s.sets(words)]
                 for lo in range(0, len(node), 200):
-                    yield pa.RecordBatch.from_arrays([pa.array(node[lo : lo + 200], pa.binary()), pa.array(packed[lo : lo + 200], pa.binary())], ["node", "set"])
+                    yield pa.RecordBatch.from_arrays([pa.array(node[lo : lo + 200], pa.binary()), pa.array(packed[lo : lo + 200], pa.binary())], ["digest", "set"])
 
     # copies of a text that slip through the bitmap hold the same set; one is enough
-    sets = hashed.mapInArrow(run, "node binary, set binary").join(ends, "node", "left_semi").dropDuplicates(["node"])
+    sets = hashed.mapInArrow(run, "digest binary, set binary").join(ends.select("node", "digest"), "digest").dropDuplicates(["digest"]).select("node", "set")
 
     def unpack(x: bytes) -> np.ndarray:
         out = np.zeros((len(x) // 6, 8), np.uint8)
@@ -316,7 +321,7 @@ def confirm(df: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             yield b.filter(pa.array(ok, pa.bool_())).select(["a", "b"])
 
     left = pairs.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
-    return left.join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b").select("a", "b", "sa", "sb").mapInArrow(check, "a binary, b binary")
+    return left.join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b").select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
 
 
 def components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
@@ -340,11 +345,12 @@ def components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
         return scratch.write(labels.join(i, "label", "left").select("node", F.coalesce("root", "label").alias("label")), f"{tag}-done{k}")
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose nodes are not in one component yet."""
+def _apart(pairs: DataFrame, labels: DataFrame, keep: bool = False) -> DataFrame:
+    """Pairs whose nodes are not in one component yet; ``keep``: with the components, ca and cb."""
     la, lb = labels.select(F.col("node").alias("a"), F.col("label").alias("la")), labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-    j = pairs.join(la, "a", "left").join(lb, "b", "left")
-    return j.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).drop("la", "lb")
+    j = pairs.join(la, "a", "left").join(lb, "b", "left").withColumn("ca", F.coalesce("la", "a")).withColumn("cb", F.coalesce("lb", "b"))
+    out = j.where(F.col("ca") != F.col("cb")).drop("la", "lb")
+    return out if keep else out.drop("ca", "cb")
 
 
 def link(df: DataFrame, scratch: Scratch | None = None) -> DataFrame:
@@ -353,8 +359,10 @@ def link(df: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     scratch = scratch or Scratch(df.sparkSession, "near-dedup")
     rows = scratch.write(sketches(df), "sketches")
     per_node = rows.where("node is not null").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "n_shingles", "sig")).alias("m"))
-    signed = scratch.write(per_node.select("node", F.col("m.doc_id").alias("doc_id"), F.col("m.n_shingles").alias("n_shingles"), F.col("m.sig").alias("sig")), "signed")
-    nodes = signed.select("node", "doc_id", "n_shingles")
+    # nodes are numbered in the table as written, and by these numbers from then on
+    numbered = per_node.select(F.monotonically_increasing_id().alias("node"), F.col("node").alias("digest"), F.col("m.doc_id").alias("doc_id"), F.col("m.n_shingles").alias("n_shingles"), F.col("m.sig").alias("sig"))
+    signed = scratch.write(numbered, "signed")
+    nodes = signed.select("node", "digest", "doc_id", "n_shingles")
     regions = scratch.write(_regions(forest(signed), scratch), "regions", "lz4")
     pairs = scratch.write(neighbours(regions), "pairs")
     # first each node's most frequent and its smallest candidate; one of several orders alone says little
@@ -370,15 +378,21 @@ def link(df: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     mixed = scratch.write(r.join(r.groupBy("region").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("k")).where(f"c0 <> c1 and k > {NEXT + 1}").select("region"), "region"), "mixed")
     hits = _across(mixed).union(_dense_rest(df.sparkSession.read.parquet(f"{scratch.root}/level0"), labels, scratch))
     hits = hits.union(_apart(pairs, labels).select("a", "b", F.col("hits").cast("int")))
-    rest = hits.groupBy("a", "b").agg(F.sum("hits").alias("hits")).where("hits > 1").select("a", "b")
+    rest = hits.groupBy("a", "b").agg(F.sum("hits").alias("hits")).where("hits > 1")
     rest = scratch.write(rest.join(first, ["a", "b"], "left_anti"), "rest")
-    if not rest.isEmpty():
-        edges = edges.union(scratch.write(confirm(df, rest, nodes), "more"))
-        labels = components(edges, scratch, "two")
-    for name in ("regions", "pairs", "first", "mixed", "rest", *(f"{t}{k}" for t in ("level", "ways") for k in range(len(DEPTHS)))):
+    # of each two components the pair that met most often, then what that leaves apart
+    two = _apart(rest, labels, keep=True)
+    best = two.groupBy(F.least("ca", "cb").alias("x"), F.greatest("ca", "cb").alias("y")).agg(F.max(F.struct("hits", "a", "b")).alias("p")).select("p.a", "p.b")
+    for tag, todo in (("best", best), ("more", rest)):
+        todo = scratch.write(_apart(todo, labels).select("a", "b") if tag == "more" else todo, f"{tag}-pairs")
+        if todo.isEmpty():
+            break
+        edges = edges.union(scratch.write(confirm(df, todo, nodes), f"{tag}-edges"))
+        labels = components(edges, scratch, tag)
+    for name in ("regions", "pairs", "first", "mixed", "rest", "best-pairs", "more-pairs", *(f"{t}{k}" for t in ("level", "ways") for k in range(len(DEPTHS)))):
         scratch.drop(name)
     owner = labels.join(nodes, "node").groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    per_node = nodes.join(labels, "node", "left").join(owner, "label", "left").select("node", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("label", "node").alias("group"))
+    per_node = nodes.join(labels, "node", "left").join(owner, "label", "left").select(F.col("digest").alias("node"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("label", "node").alias("group"))
     out = rows.drop("sig").join(per_node, "node", "left")
     out = out.withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
     return out.select("doc_id", "n_shingles", "node", "group", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
@@ -388,6 +402,25 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     return link(df).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def _without(rows: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """The rows whose id isn't in ``gone`` (__id), with whole texts shuffled only where they may be.
+
+    Up to ``SENT`` ids are sent to every executor.  Beyond, a bitmap of bounded size tells most rows that stay;
+    the others meet the ids in a join."""
+    same, n = F.col(key).eqNullSafe(F.col("__id")), gone.count()
+    if n <= SENT:
+        return rows.join(F.broadcast(gone), same, "left_anti")
+    size = 1 << min(max((16 * n).bit_length(), BITMAP[0]), BITMAP[1])
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(size)) + 1
+    bits = gone.select(place("__id").alias("h")).groupBy(F.bitmap_bucket_number("h").alias("__k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("__m"))
+    at = F.bitmap_bit_position(place(key))
+    byte = F.conv(F.hex(F.expr("substring(__m, __byte, 1)")), 16, 10).cast("long")
+    told = rows.join(F.broadcast(bits), F.bitmap_bucket_number(place(key)) == F.col("__k"), "left").withColumn("__byte", (F.floor(at / 8) + 1).cast("int"))
+    told = told.withColumn("__may", F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False)))
+    maybe = told.where("__may").select(*rows.columns).join(gone, same, "left_anti")
+    return told.where("not __may").select(*rows.columns).unionByName(maybe)
+
+
 def deduplicate(df: DataFrame) -> DataFrame:
     """The rows, with all columns, of one document per group: of its smallest id (null only if it has no
     other), and of one text if this id has several in the group.
@@ -403,7 +436,7 @@ def deduplicate(df: DataFrame) -> DataFrame:
     key, text = names[df.columns.index("doc_id")], names[df.columns.index("text")]
     if verdicts.groupBy("doc_id").count().where("count > 1").isEmpty():
         gone = verdicts.where("not kept").select(F.col("doc_id").alias("__id"))
-        left = inner.join(gone, F.col(key).eqNullSafe(F.col("__id")), "left_anti")
+        left = _without(inner, key, scratch.write(gone, "gone"))
     else:
         own = verdicts.where("node is not null").select("group", "doc_id", "node").distinct()
         first = own.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node")).alias("m")).select("group", F.col("m.doc_id").alias("__first"), F.col("m.node").alias("__text"))

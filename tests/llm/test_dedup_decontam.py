@@ -217,3 +217,26 @@ def test_blocks_of_items(odd, spark, monkeypatch):
     bench = spark.createDataFrame([(i, t) for i, t in enumerate(["one two three", "nothing like it here", "lorem ipsum dolor sit amet"])], "item_id long, text string")
     assert len(list(decontam.blocks(bench))) > 1
     assert {(r["doc_id"], r["item_id"]) for r in decontam.leaks(odd, bench).collect()} == {(5, 0), (4, 2)}
+
+
+def test_place_of_a_match_does_not_depend_on_the_batch():
+    """Three verbatim copies of an item, one of them altered before: the first verbatim one, after any texts."""
+    item = " ".join(f"item{k}" for k in range(20))
+    rng = random.Random(4)
+    fill = lambda n: " ".join(f"f{rng.randrange(10**6)}" for _ in range(n))
+    near = item.replace("item3 ", "other ")
+    text = f"{fill(5)} {near} {fill(5)} {item} {fill(22)} {item} {fill(22)} {item}"
+    index = decontam.Index.build([(1, item)])
+    got = set()
+    with np.errstate(over="ignore"):
+        for n in (0, 1, 2, 7, 50):
+            got.add(tuple(index.scan([fill(rng.randrange(40)) + item for _ in range(n)] + [text])[-1]))
+    assert got == {((1, 30, 50, 0),)}
+
+
+def test_blocks_hold_a_bounded_number_of_words(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "BLOCK_WORDS", 10)
+    rows = [(k, " ".join(f"w{k}x{j}" for j in range(4))) for k in range(6)] + [(9, " ".join("a" for _ in range(30))), (10, None)]
+    own = list(decontam.blocks(spark.createDataFrame(rows, "item_id long, text string").coalesce(1)))
+    sizes = [[len(w) for _, w in i.items] for i in own]
+    assert sorted(x for s in sizes for x in s) == [4] * 6 + [30] and all(sum(s) <= 10 or len(s) == 1 for s in sizes)

@@ -45,3 +45,28 @@ def test_odd_rows_pass_all_stages(spark, odd, empty, small, tmp_path):
         for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
             stage(spark, docs, small).write.parquet(f"{tmp_path}/{name}{k}")
             docs = spark.read.parquet(f"{tmp_path}/{name}{k}")
+
+
+def test_what_each_stage_keeps(spark, small, tmp_path):
+    """Ids shared by different texts, null ids, a null source, a word of 70,000 characters."""
+    words = lambda k: " ".join(f"w{k}n{j}{'abcdefg'[j % 7]}" for j in range(80))
+    long = words(9) + " " + " ".join(f"w9m{j}" for j in range(20_000)) + " " + "don't.x" * 10_000  # enough words to pass the rules
+    bench = spark.read.parquet(f"{small}/benchmark.parquet").first()["text"]
+    rows = [
+        (1, words(1), "a"), (1, words(2), "a"), (1, words(1), "a"), (2, words(1), "b"), (None, words(3), None), (None, words(4), "a"), (None, words(2), "a"),
+        (5, long, "b"), (6, f"{words(6)} {bench} {words(7)}", "a"), (7, None, "a"), (8, "few words", "b"),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, small).write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+        kept.append(docs.collect())
+    texts = [sorted(Counter((r["doc_id"], (r["text"] or "")[:12]) for r in own).items(), key=repr) for own in kept[:3]]
+    first = [t[:12] for t in (words(1), words(2), words(3), words(4), words(6), words(9))]
+    assert len(kept[0]) == 9 and not {7, 8} & {r["doc_id"] for r in kept[0]}
+    assert [x for x, _ in texts[1]] == sorted([(1, first[0]), (1, first[1]), (None, first[2]), (None, first[3]), (6, first[4]), (5, first[5])], key=repr)
+    assert [x for x, _ in texts[2]] == [x for x in [x for x, _ in texts[1]] if x[0] != 6]
+    assert {r["doc_id"] for r in kept[3]} <= {1, 5, None} and kept[3]
+    sizes = Counter((r["doc_id"], r["n_tokens"] + 1) for r in tokens.token_counts(spark.read.parquet(f"{tmp_path}/3")).collect())
+    assert Counter((r["doc_id"], r["n_tokens"]) for r in kept[4]) == sizes
