@@ -7,35 +7,54 @@ costs more than the stage at work.  All stages but the last return the columns o
 
 from __future__ import annotations
 
+import logging
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm import decontam, dedup, mixing, quality, store
-from corpusloom.llm.common import Scratch, read
+from corpusloom.llm.common import Scratch, read, shared_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality policy keeps."""
+    """Documents that the quality policy keeps.
+
+    Null and empty texts have no words and go; rows are judged one by one, so null or repeated ids and further
+    columns of any name change nothing."""
     return quality.filter_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near-duplicates."""
+    """One document, that with the smallest id, of each group of near-duplicates.
+
+    A null id stays only where its group has no other; different texts under one id are different documents; of
+    rows equal in id and words one stays; texts without words are in no group and all stay."""
     return dedup.deduplicate(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item is found."""
+    """Documents in which no benchmark item is found.
+
+    Null and empty texts hold none and stay; rows are judged one by one."""
     return decontam.decontaminate(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixture: each document as often as its source's target asks for."""
+    """The mixture: each document as often as its source's target asks for.
+
+    A null source is one of its own; rows of one id are taken alike; a source without words gives no rows."""
     return mixing.mix(docs)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids written to a content-addressed store; per document its digest, read back from the files."""
-    return store.encode_and_digest(docs)
+    """Ids written to a content-addressed store; per document its digest, read back from the files.
+
+    The store is the product and stays: in the folder of the session's setting ``spark.corpusloom.tokens``, or in
+    one of the shared folder.  Null texts are empty documents; repeated ids are documents side by side; other
+    columns are not stored."""
+    root = spark.conf.get("spark.corpusloom.tokens", "") or f"{shared_dir(spark)}/corpus-tokens-{uuid.uuid4().hex}"
+    logging.getLogger(__name__).info("token store: %s", root)
+    return store.encode_and_digest(docs, root)
 
 
 STAGES = [
