@@ -28,10 +28,14 @@ def transcripts(df: DataFrame, key: str, conv: str = "conversations", ratio: flo
 
 
 def characters(df: DataFrame, text: str = "text") -> DataFrame:
-    """A stand-in encoding inside the JVM: one id per code point, with its offsets."""
+    """A stand-in encoding inside the JVM: one id per code point, with its offsets.  The text is split once, so the
+    work is in proportion to its length."""
     n = F.length(text)
-    at = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    return df.withColumn("starts", at).withColumns({"input_ids": F.transform("starts", lambda i: F.ascii(F.substr(F.col(text), i + 1, F.lit(1)))), "ends": F.transform("starts", lambda i: i + 1)})
+    none = F.array().cast("array<int>")
+    return df.withColumns({
+        "input_ids": F.when(n > 0, F.transform(F.split(F.col(text), ""), F.ascii)).otherwise(none),
+        "starts": F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(none), "ends": F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(none),
+    })
 
 
 def sft_samples(df: DataFrame, key: str, encode: Callable[[DataFrame], DataFrame], most: int = 8192, conv: str = "conversations", ratio: float = 0.2, seed: int = 42) -> DataFrame:
@@ -39,7 +43,9 @@ def sft_samples(df: DataFrame, key: str, encode: Callable[[DataFrame], DataFrame
     ``text`` (``tokenizing.encode``, ``characters``).  Labels are the ids of assistants' replies up to their closing mark;
     rows longer than ``most``, or without a label, are not emitted and carry no ids."""
     x = encode(transcripts(df, key, conv, ratio, seed).select(key, "status", "text"))
-    x = x.withColumn("labels", packing.overlap_labels(F.col("input_ids"), F.col("starts"), F.col("ends"), packing.supervised_spans(F.col("text"))))
+    # rows that are too long get a status and no labels
+    own = packing.overlap_labels(F.col("input_ids"), F.col("starts"), F.col("ends"), packing.supervised_spans(F.col("text")))
+    x = x.withColumn("labels", F.when(packing.within("input_ids", most), own))
     status = (
         F.when(F.col("status").isNotNull(), F.col("status")).when(F.coalesce(F.size("input_ids"), F.lit(0)) <= 0, "empty").when(~packing.within("input_ids", most), "long")
         .when(~F.coalesce(packing.supervised(), F.lit(False)), "no_supervision").otherwise("emitted")

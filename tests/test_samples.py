@@ -64,3 +64,17 @@ def test_tools_and_calls(spark):
     assert got == [TOOLS, None, "", None, None]
     calls = df.where("conv_id = 4").select(msg.fill_tool_calls(F.col("conversations")).alias("c")).first()["c"]
     assert [m["tool_calls"] for m in calls] == ["[1]", None, "[1"]
+
+
+def test_long_conversations_cost_by_their_length(spark):
+    """150,000 characters in 150 replies; spans were worked out anew for every character before (minutes)."""
+    import time
+
+    turns = [m for i in range(150) for m in (("user", f"q{i}"), ("assistant", "é" + "x" * 950))]
+    began = time.time()
+    got = samples.sft_samples(rows(spark, turns, [("user", "a"), ("assistant", "\U0001f600b")]), "conv_id", samples.characters, 1_000_000, ratio=0.0).orderBy("conv_id").collect()
+    assert time.time() - began < 60
+    said = lambda r: "".join(chr(x) for x in r["labels"] if x != packing.IGNORE)
+    assert said(got[0]) == ("é" + "x" * 950 + "<|im_end|>") * 150 and said(got[1]) == "\U0001f600b<|im_end|>"
+    report = samples.shard_report(samples.sft_samples(rows(spark, turns), "conv_id", samples.characters, 2000, ratio=0.0), "conv_id", 1).first()
+    assert (report["rows"], report["long"]) == (1, 1)
