@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusloom.functions import text as t
+from corpusloom.sources.tables import Shared
 
 
 def finite(c: str) -> Column:
@@ -144,10 +145,12 @@ def tokenizer_report(df: DataFrame, tokens: Column, unknown: str | None = None,
 
 
 def corpus_report(df: DataFrame, ids: str = "input_ids", order: str = "doc_id", first: int = 100) -> DataFrame:
-    """Rows, kept rows, dropped rows, first length, tokens in the first rows kept."""
-    kept = F.size(ids) > 0
+    """Rows, kept rows, dropped rows, first length, tokens in the first rows kept.  The lengths are written once, so
+    that both readers don't work out the ids."""
+    df = Shared(df.sparkSession, "lengths").write(df.select(F.col(order).alias("o"), F.size(ids).alias("n")), "rows")
+    kept = F.col("n") > 0
     total = df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.when(kept, 1)), F.lit(0)).cast("long").alias("kept"))
-    head = df.where(kept).orderBy(order).limit(first).select(F.col(order).alias("o"), F.size(ids).alias("n"))
+    head = df.where(kept).orderBy("o").limit(first)
     own = head.agg(F.min_by("n", "o").cast("long").alias("first_length"), F.sum("n").alias("head_tokens"))
     return total.crossJoin(F.broadcast(own)).select("*", (F.col("rows") - F.col("kept")).alias("dropped"))
 
