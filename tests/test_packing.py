@@ -116,3 +116,37 @@ def test_packing_does_not_depend_on_the_parts(spark):
         got = {(r["shard"], r["chunk"]): r["input_ids"] for r in packing.pack(df, schedule=(packing.Stage(16),)).collect()}
         assert got == want
     spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_arrays_equal_the_long_form(spark):
+    """Separators at both ends, in a row and none; no window and no join."""
+    rng = random.Random(3)
+    rows = [(i, [rng.choice((0, 1, 2, 3)) for _ in range(rng.randrange(1, 30))]) for i in range(60)] + [(100, [0]), (101, [0, 0, 5]), (102, [7, 0]), (103, [1, 2])]
+    df = spark.createDataFrame(rows, "row int, input_ids array<int>")
+    seg = packing.segment_ids(packing.tokens_long(df, ["row"]), ["row"], 0)
+    c = F.col("input_ids")
+    got = df.select("row", packing.segments_of(c, 0).alias("s"), packing.positions_of(c, 0).alias("p"), packing.mask_pair_count(c, 0).alias("n"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange" not in plan
+    long = got.select("row", F.posexplode(F.arrays_zip("s", "p")).alias("idx", "x")).select("row", "idx", "x.s", "x.p")
+    want = packing.position_ids(seg, ["row"], 0).select("row", "idx", "segment", "position")
+    assert sorted(map(tuple, long.collect())) == sorted(map(tuple, want.collect()))
+    pairs = {r["row"]: r["count"] for r in packing.mask_pairs(seg, ["row"]).groupBy("row").count().collect()}
+    assert {r["row"]: r["n"] for r in got.collect()} == pairs
+
+
+def test_ids_are_worked_out_once(spark):
+    """A filter on the ids isn't pushed below them; a report works them out in one pass; words parted and hashed as in SQL."""
+    import hashlib
+
+    from corpusloom.operators import tokenizing
+
+    texts = ["a b\x1cc\x85d\xa0e　f ​g", "", None, " \t", "x" * 200 + " x", "É é"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").select("doc_id", tokenizing.hashed_words(F.col("text")).alias("input_ids"))
+    want = [[int(hashlib.md5(w.encode()).hexdigest()[:7], 16) % 32768 + 1 for w in (x or "").split()] for x in texts]
+    assert [r["input_ids"] for r in df.orderBy("doc_id").collect()] == want
+    plan = df.where(F.size("input_ids") > 0)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    report = stats.corpus_report(df)
+    assert "EvalPython" not in report._jdf.queryExecution().executedPlan().toString()
+    assert report.first().asDict() == {"rows": 6, "kept": 3, "dropped": 3, "first_length": 7, "head_tokens": 11}
