@@ -77,3 +77,27 @@ def test_verified_greedy_is_the_sequential_scan(spark):
             kept.append(i)
     got = {r["doc_id"] for r in neardup.near_dedup_verified(spark.createDataFrame(rows, "doc_id long, text string"), 0.6, 2).collect()}
     assert got == {*kept, 101, 102} and len(kept) < 58
+
+
+def test_sets_are_hashes_and_lone_shingles_stay_behind(spark):
+    """Shingles were kept and shuffled as texts, each set three times, those of one set alone as well."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(40))) for i in range(30)]
+    rows += [(100 + i, t + f" end {i}") for i, t in rows[:10]]
+    _, sets = neardup.shingle_sets(spark.createDataFrame(rows, "doc_id long, text string"), 5)
+    assert dict(sets.dtypes)["s"] == "array<bigint>"
+    got = {(r["a"], r["b"]): r["jaccard"] for r in neardup.pairs_above(sets, 0.9).collect()}
+    assert got == {(i, 100 + i): 36 / 38 for i in range(10)}
+
+
+def test_signatures_in_steps(spark):
+    """More shingles than are hashed at a time give the least of all of them; null ids, texts without words."""
+    import numpy as np
+
+    cfg = MinHashConfig(threshold=0.6, num_perm=16)
+    long = " ".join(f"w{k}" for k in range(neardup.STEP * 2 + 100))
+    df = spark.createDataFrame([(1, long), (None, "a b"), (3, " ")], "doc_id long, text string")
+    got = {r["doc_id"]: r["signature"] for r in neardup.signatures(df, cfg).collect()}
+    h = neardup.shingle_hashes(long, 5)
+    assert got[1] == [int(((a * h + b) % neardup.PRIME).min()) for a, b in cfg.permutations()] and got[3] is None and len(got[None]) == 16
+    assert isinstance(h, np.ndarray) and len(h) > neardup.STEP * 2 and int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
