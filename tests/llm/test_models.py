@@ -123,6 +123,12 @@ def test_scores_equal_brute_force(spark, small, odd, empty):
     assert lattice.score(empty).count() == 0
 
 
+def test_scores_of_ids_that_are_never_null(spark):
+    """A table whose doc_id is declared not null stopped with an error."""
+    got = lattice.score(spark.range(6).selectExpr("id as doc_id", "'a b' as text")).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(6)) and all(r["n_tokens"] == 3 for r in got)
+
+
 def test_forward_sums_all_segmentations():
     lat, end = lattice.lattice_from_counts({i: (i * 7919) % 50 for i in range(3, 32_000)}, 10, lattice.default_path())
 
